@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The analysed system is a batch job: it has no watermark, window, state or
+late-data handling anywhere, so nothing is built here (see README).
+"""
