@@ -1,0 +1,18 @@
+"""Query registry and oracle SQL.
+
+``all_queries()`` returns every registered builder; ``all_oracle_sql()`` the
+DuckDB SQL text per key (keys without SQL get the weaker rows-only check).
+"""
+
+
+def all_queries():
+    from racelens.plans import queries, queries_io, queries_train  # noqa: F401  (registration)
+    return queries.REGISTRY
+
+
+def all_oracle_sql():
+    import importlib
+    base = importlib.import_module("racelens.plans.oracle")
+    importlib.import_module("racelens.plans.oracle_io")
+    importlib.import_module("racelens.plans.oracle_train")
+    return base.ORACLE
