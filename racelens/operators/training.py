@@ -144,22 +144,35 @@ class PredictionRun(_Run):
                 .join(g, "pair_id", "left"))
 
 
-def boosted_cv(run: InterpolationRun, pair_id: int, params: dict | None = None) -> DataFrame:
-    """M2 + M3 with boosted trees for one pair: K fits on the other folds,
-    out-of-fold predictions pooled. Features follow the pair's feature set."""
-    pair = next(p for p in run.pairs if p.pair_id == pair_id)
-    feats = [f for f in pair.features]
+def _boost_data(run: InterpolationRun, pair: G.Pair) -> DataFrame:
+    from racelens.functions.names import gender_code
     cols = [F.col(f"`{s}`").cast("double").alias(s) for s in run.splits] + [
         F.col("age").cast("double").alias("age")]
-    from racelens.functions.names import gender_code
-    data = (run.wide.select("finisher_id", "athlete_id", *cols,
+    return (run.wide.select("finisher_id", "athlete_id", *cols,
                             gender_code(F.col("gender")).cast("double").alias("gender"))
             .dropna(subset=[s for s in run.splits[:pair.p_idx + 1]] + ["age"])
             .withColumn("fold", G.fold_of(F.col("finisher_id")))
-            .withColumn("y", F.col(pair.target)))
+            .withColumn("y", F.col(pair.target))
+            .checkpoint())   # iterative learner: cut the lineage once (shared checkpoint folder)
+
+
+def boosted_fit_predict(run: InterpolationRun, pair_id: int, params: dict | None = None) -> DataFrame:
+    """M2 + M11: boosted trees fitted on all complete rows of one pair (the
+    final model), applied to those rows."""
+    pair = next(p for p in run.pairs if p.pair_id == pair_id)
+    data = _boost_data(run, pair)
+    model = M.fit_boosted(data, list(pair.features), "y", params)
+    return M.batch_predict(model, data).select(F.lit(pair_id).alias("pair_id"), "finisher_id", "y", "pred")
+
+
+def boosted_cv(run: InterpolationRun, pair_id: int, params: dict | None = None) -> DataFrame:
+    """M2 + M3 with boosted trees for one pair: K fits on the other folds,
+    out-of-fold predictions pooled. Features follow the pair's feature set."""
+    pair = next(p for p in run.pairs if p.pair_id == pair_id)
+    data = _boost_data(run, pair)
     outs = []
     for f in range(G.N_FOLDS):
-        model = M.fit_boosted(data.filter(F.col("fold") != f), feats, "y", params)
+        model = M.fit_boosted(data.filter(F.col("fold") != f), list(pair.features), "y", params)
         outs.append(M.batch_predict(model, data.filter(F.col("fold") == f)))
     res = outs[0]
     for o in outs[1:]:

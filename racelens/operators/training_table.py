@@ -47,7 +47,8 @@ def result_filter(wide: DataFrame, selection: DataFrame, requests: DataFrame, n_
                   prune_pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """Rows of the chosen (race, event) pairs, per request, plus the
     request's optional event filters ('None', empty, null = no filter)."""
-    sel = (selection
+    keep = [c for c in selection.columns if c in ("race_id", "event_id") or c not in wide.columns]
+    sel = (selection.select(*keep)
            .join(requests.select("req_key", clean_filter("event_id_filter").alias("eid_f"),
                                  clean_filter("event_std_filter").alias("estd_f")), "req_key"))
     if prune_pairs is not None:
