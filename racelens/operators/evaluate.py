@@ -3,8 +3,9 @@
 Inputs are prediction rows (pair_id, y, pred). Every statistic is a
 ``groupBy(pair_id)`` aggregate. The naive predictor needs the pair mean
 first: a per-pair table (bounded by the grid size) is broadcast back.
-Exact percentiles use Spark's ``percentile``; ``exact=False`` switches to
-``percentile_approx`` (bounded memory for very large pairs).
+Quantile modes: 'exact' uses Spark's ``percentile`` inline; 'bracket' gives
+the same numbers with bounded memory per pair (see ``quantiles``); 'approx'
+uses ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -27,11 +28,30 @@ ERROR_PERCENTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 # ----------------------------------------------------------------------------
 
 
-def _pct(c: Column, probs, exact: bool, accuracy: int = 100_000) -> Column:
-    return F.percentile(c, list(probs)) if exact else F.percentile_approx(c, list(probs), accuracy)
+def _pct(c: Column, probs, exact, accuracy: int = 100_000) -> Column:
+    if exact is True or exact == "exact":
+        return F.percentile(c, list(probs))
+    if exact == "bracket":      # filled in by _with_quantiles
+        return F.lit(None).cast("array<double>")
+    return F.percentile_approx(c, list(probs), accuracy)
 
 
-def error_metrics(pred: DataFrame, keys=("pair_id",), exact: bool = True) -> DataFrame:
+def _with_quantiles(agg: DataFrame, df: DataFrame, keys, specs, mode) -> DataFrame:
+    """Attach per-group quantile arrays. ``specs``: (name, value column, probs).
+
+    'exact'/'approx' were computed inline in ``agg``; 'bracket' computes them
+    with bounded memory per group and joins the grid-sized result back."""
+    if mode != "bracket":
+        return agg
+    from racelens.operators.quantiles import grouped_quantiles
+    for name, col, probs in specs:
+        q = grouped_quantiles(df, list(keys), col, list(probs), "bracket")
+        q = q.select(*keys, F.array(*[F.col(f"q{i}") for i in range(len(probs))]).alias(name))
+        agg = agg.drop(name).join(q, list(keys))
+    return agg
+
+
+def error_metrics(pred: DataFrame, keys=("pair_id",), exact="exact") -> DataFrame:
     """N, mae, rmse, r2, max, min, std, percentiles of |e|, mape,
     median and p95 relative error (%)."""
     e = F.col("y") - F.col("pred")
@@ -44,6 +64,7 @@ def error_metrics(pred: DataFrame, keys=("pair_id",), exact: bool = True) -> Dat
         F.max("ae").alias("max_error"), F.min("ae").alias("min_error"), F.stddev_pop("ae").alias("std_error"),
         _pct(F.col("ae"), ERROR_PERCENTILES, exact).alias("_p"), F.avg("rel").alias("mape"),
         _pct(F.col("rel"), (0.5, 0.95), exact).alias("_r"))
+    agg = _with_quantiles(agg, df, keys, [("_p", "ae", ERROR_PERCENTILES), ("_r", "rel", (0.5, 0.95))], exact)
     r2 = F.when(F.col("_vy") > 0, 1 - F.col("_mse") / F.col("_vy"))
     names = ["q1_error", "median_error", "q3_error", "p90_error", "p95_error", "p99_error"]
     return agg.select(*keys, "n", "mae", "rmse", r2.alias("r2"), "max_error", "min_error", "std_error",
@@ -51,7 +72,7 @@ def error_metrics(pred: DataFrame, keys=("pair_id",), exact: bool = True) -> Dat
                       F.col("_r")[0].alias("median_rel_error"), F.col("_r")[1].alias("p95_rel_error"))
 
 
-def gate(pred: DataFrame, keys=("pair_id",), exact: bool = True) -> DataFrame:
+def gate(pred: DataFrame, keys=("pair_id",), exact="exact") -> DataFrame:
     """E3-E6 per pair: naive MAE, MAE, improvement, CV, p50, p95, ratio,
     three pass flags, score and approval."""
     means = pred.groupBy(*keys).agg(F.avg("y").alias("mean_y"))
@@ -60,6 +81,7 @@ def gate(pred: DataFrame, keys=("pair_id",), exact: bool = True) -> DataFrame:
     a = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("ane").alias("mae_naive"),
                               F.avg("ae").alias("mae"), F.stddev_pop("ae").alias("std_error"),
                               _pct(F.col("ae"), (0.5, 0.95), exact).alias("_p"))
+    a = _with_quantiles(a, df, keys, [("_p", "ae", (0.5, 0.95))], exact)
     return a.select(*keys, "n", "mae_naive", "mae", "std_error",
                     F.col("_p")[0].alias("p50"), F.col("_p")[1].alias("p95")).transform(score_levels)
 

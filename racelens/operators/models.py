@@ -105,18 +105,16 @@ def holdout_predict(rows: DataFrame) -> DataFrame:
             .withColumn("pred", F.col("intercept") + F.col("slope") * F.col("x")))
 
 
-def residual_quantiles(pred_rows: DataFrame, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+def residual_quantiles(pred_rows: DataFrame, exact="exact", accuracy: int = 100_000) -> DataFrame:
     """M8: q10, q50, q90 of the TRAINING residuals y - pred per pair.
 
-    exact: linear interpolation between order statistics (``percentile``);
-    otherwise ``percentile_approx`` with bounded memory per group."""
+    'exact' / 'bracket': linear interpolation between order statistics
+    ('bracket' with bounded memory per pair); 'approx': percentile_approx."""
+    from racelens.operators.quantiles import grouped_quantiles
+    mode = "exact" if exact is True else ("approx" if exact is False else exact)
     r = pred_rows.filter(~F.col("holdout")).withColumn("res", F.col("y") - F.col("pred"))
-    if exact:
-        q = F.percentile("res", list(QUANTILES))
-    else:
-        q = F.percentile_approx("res", list(QUANTILES), accuracy)
-    return r.groupBy("pair_id").agg(q.alias("q")).select(
-        "pair_id", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90"))
+    q = grouped_quantiles(r, ["pair_id"], "res", list(QUANTILES), mode, accuracy)
+    return q.select("pair_id", F.col("q0").alias("q10"), F.col("q1").alias("q50"), F.col("q2").alias("q90"))
 
 
 def interval_predict(pred_rows: DataFrame, quantiles: DataFrame) -> DataFrame:

@@ -27,10 +27,21 @@ class _Run:
     kind = ""
 
     def __init__(self, wide: DataFrame, mode: str = "strict", min_samples: int = G.MIN_SAMPLES,
-                 exact: bool = True):
-        self.wide, self.mode, self.min_samples, self.exact = wide, mode, min_samples, exact
+                 quantile_mode: str = "auto"):
+        """quantile_mode: 'exact' (Spark percentile), 'bracket' (exact, bounded
+        memory per pair), 'approx', or 'auto' = 'bracket' once the largest pair
+        exceeds ``EXACT_MAX_GROUP`` rows (one grid-sized aggregate decides)."""
+        self.wide, self.mode, self.min_samples, self.quantile_mode = wide, mode, min_samples, quantile_mode
         self.spark = wide.sparkSession
 
+    @cached_property
+    def exact(self) -> str:
+        if self.quantile_mode != "auto":
+            return self.quantile_mode
+        from racelens.operators.quantiles import EXACT_MAX_GROUP
+        biggest = self.counts.agg(F.max("n_complete")).first()[0] or 0
+        return "bracket" if biggest > EXACT_MAX_GROUP else "exact"
+
     @cached_property
     def detected(self) -> list[str]:
         return G.ordered_splits(self.wide.columns, self.mode)
@@ -49,6 +60,13 @@ class _Run:
     def pairs(self) -> list[G.Pair]:
         raise NotImplementedError
 
+    def materialize(self) -> "_Run":
+        """Checkpoint the pair rows (reliable, in the shared checkpoint folder)
+        so every later aggregate reads them instead of replaying the lineage,
+        and a lost executor costs a re-read, not a recomputation."""
+        self.__dict__["rows"] = self.rows.checkpoint()
+        return self
+
     @cached_property
     def pair_df(self) -> DataFrame:
         return G.pair_frame(self.spark, self.pairs)

@@ -70,8 +70,12 @@ def q_column_def_parse(spark, sf):
 def q_partition_select(spark, sf):
     """Only the directories of chosen (race, event) pairs are read."""
     c = Ctx(spark, sf)
-    pairs = [(r["race_id"], r["event_id"]) for r in c.selection.select("race_id", "event_id").distinct().collect()]
+    chosen = c.selection.select("race_id", "event_id").distinct()
+    few = chosen.limit(T.LITERAL_PRUNE_MAX_PAIRS + 1).collect()      # bounded look at the chosen pairs
+    pairs = [(r["race_id"], r["event_id"]) for r in few] if len(few) <= T.LITERAL_PRUNE_MAX_PAIRS else None
     df = W.read_declared(spark, _partitioned(c), X.wide_split_names(), pairs)
+    # the semi join keeps the result right when there are too many pairs for a literal filter
+    df = df.join(chosen, ["race_id", "event_id"], "left_semi")
     return df.groupBy("race_id", "event_id").agg(F.count(F.lit(1)).alias("n_rows"),
                                                  F.count("km_5").alias("n_km_5"))
 
