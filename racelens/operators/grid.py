@@ -3,9 +3,10 @@
 The grid (which target/position or prefix/future pairs exist) is schema
 metadata: a handful of split names. The data side is one pass over the wide
 table: every row is expanded into the pairs for which it is a complete case
-(``inline`` of a literal pair array filtered by ``forall`` over the
-required split positions), carrying y (target), x (position / last prefix
-split), age, gender code, the K-fold bucket and the athlete hold-out flag.
+(``inline`` of a slice of a literal pair array, the slice length following
+from the row's count of leading non-null splits), carrying y (target), x
+(position / last prefix split), age, gender code, the K-fold bucket and the
+athlete hold-out flag.
 Every later statistic is a ``groupBy(pair_id)`` with partial aggregation, so
 only (pair x partition) partial rows are shuffled, however large a pair is.
 """
@@ -128,27 +129,57 @@ def is_holdout(athlete: Column, salt: str = HOLDOUT_SALT, percent: int = HOLDOUT
     return md5_bucket(F.concat(F.lit(salt), athlete.cast("string")), 100) < percent
 
 
+def prefix_complete_len(splits: list[str]) -> Column:
+    """Number of leading non-null splits of a row (plain CASE, code-generated)."""
+    expr = None
+    for i, s in enumerate(splits):
+        cond = F.col(f"`{s}`").isNull()
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr.otherwise(F.lit(len(splits))) if expr is not None else F.lit(0)
+
+
 def pair_rows(wide: DataFrame, splits: list[str], pairs: list[Pair], row_key: str = "finisher_id",
               gender_numeric: bool = False) -> DataFrame:
     """T4 for the whole grid in one pass.
 
-    Output: pair_id, row_key, athlete_id, y, x, age, gender, fold, holdout.
-    """
-    vals = F.array(*[F.col(f"`{s}`").cast("double") for s in splits])
+    Complete cases follow from L, the row's count of leading non-null splits:
+    an interpolation pair (t, p) needs splits 0..p, i.e. p < L; a prediction
+    pair (prefix i, future f) needs i <= L and split f. With the pairs sorted
+    by p (resp. i) the candidates of a row are a prefix of the pair array, so
+    ``slice`` + ``inline`` expand exactly them: no lambda, no per-pair check
+    outside generated code. Output: pair_id, row_key, athlete_id, y, x, age,
+    gender, fold, holdout."""
+    n = len(splits)
+    kinds = {p.kind for p in pairs}
+    if len(kinds) != 1:
+        return pair_rows(wide, splits, [p for p in pairs if p.kind == KIND_INTERP], row_key, gender_numeric) \
+            .unionByName(pair_rows(wide, splits, [p for p in pairs if p.kind == KIND_PRED], row_key, gender_numeric))
+    interp = kinds == {KIND_INTERP}
+    if len(pairs) != n * (n - 1) // 2:
+        raise ValueError("pair_rows expects the full grid of the given splits")
+    order = sorted(pairs, key=(lambda p: (p.p_idx, p.t_idx)) if interp else (lambda p: (len(p.prefix), p.t_idx)))
     lit_pairs = F.array(*[F.struct(F.lit(p.pair_id).alias("pair_id"), F.lit(p.t_idx).alias("t"),
-                                   F.lit(p.p_idx).alias("p"),
-                                   F.array(*[F.lit(i) for i in p.required]).alias("req"))
-                          for p in pairs])
-    base = wide.select(F.col(row_key).alias("row_key"), "athlete_id", F.col("age").cast("double").alias("age"),
-                       N.gender_code(F.col("gender"), numeric=gender_numeric).cast("double").alias("gender"),
-                       vals.alias("v"))
-    complete = F.filter(lit_pairs, lambda pr: F.forall(pr["req"], lambda i: F.get(F.col("v"), i).isNotNull())
-                        & F.col("age").isNotNull())
-    ex = base.select("row_key", "athlete_id", "age", "gender", "v", F.inline(complete))
-    return ex.select("pair_id", "row_key", "athlete_id",
-                     F.get(F.col("v"), F.col("t")).alias("y"), F.get(F.col("v"), F.col("p")).alias("x"),
-                     "age", "gender", fold_of(F.col("row_key")).alias("fold"),
-                     is_holdout(F.col("athlete_id")).alias("holdout"))
+                                   F.lit(p.p_idx).alias("p")) for p in order])
+    L = F.col("_L")
+    if interp:
+        # pairs with p < L: all (t, p) with t < p < L -> L(L-1)/2 of them
+        take = (L * (L - 1) / 2).cast("int")
+    else:
+        # pairs with prefix length i <= L: sum_{i=1..L} (n - i) = L*n - L(L+1)/2
+        take = (L * n - L * (L + 1) / 2).cast("int")
+    vals = F.array(*[F.col(f"`{s}`").cast("double") for s in splits])
+    base = (wide.select(F.col(row_key).alias("row_key"), "athlete_id", F.col("age").cast("double").alias("age"),
+                        N.gender_code(F.col("gender"), numeric=gender_numeric).cast("double").alias("gender"),
+                        vals.alias("v"), prefix_complete_len(splits).alias("_L"))
+            .filter(F.col("age").isNotNull() & (F.col("_L") > 0)))
+    count_pairs = len(order)
+    ex = base.select("row_key", "athlete_id", "age", "gender", "v",
+                     F.inline(F.slice(lit_pairs, F.lit(1), F.least(take, F.lit(count_pairs)))))
+    out = ex.select("pair_id", "row_key", "athlete_id",
+                    F.get(F.col("v"), F.col("t")).alias("y"), F.get(F.col("v"), F.col("p")).alias("x"),
+                    "age", "gender", fold_of(F.col("row_key")).alias("fold"),
+                    is_holdout(F.col("athlete_id")).alias("holdout"))
+    return out if interp else out.filter(F.col("y").isNotNull())
 
 
 def pair_counts(rows: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:

@@ -27,6 +27,13 @@ def r4(c) -> F.Column:
 
 
 class TCtx(Ctx):
+    @cached_property
+    def wide(self) -> DataFrame:
+        """The training table, materialised once per query (reliable checkpoint
+        in the shared folder): the grid decisions and the evaluation read it
+        several times and must not replay the leg window each time."""
+        return super().wide.checkpoint()
+
     @cached_property
     def interp(self) -> InterpolationRun:
         return InterpolationRun(self.wide)
