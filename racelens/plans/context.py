@@ -23,7 +23,7 @@ class Ctx:
 
     @cached_property
     def raw_requests(self) -> DataFrame:
-        return X.raw_requests(self.spark, self.sf)
+        return X.raw_requests(self.spark, self.sf, self.catalog)
 
     @cached_property
     def requests(self) -> DataFrame:
@@ -31,7 +31,8 @@ class Ctx:
 
     @cached_property
     def valid(self) -> DataFrame:
-        return Q.valid_requests(self.requests)
+        """Valid requests, materialised once (small: one row per request)."""
+        return Q.valid_requests(self.requests).checkpoint()
 
     @cached_property
     def catalog(self) -> DataFrame:
@@ -55,12 +56,15 @@ class Ctx:
 
     @cached_property
     def plan(self) -> DataFrame:
+        """Split plan, materialised (one row per requested split): every later
+        plan reads it instead of replaying the name-level joins."""
         has_cand = self.candidates.select("req_key").distinct()
-        return H.split_plan(self.valid.join(has_cand, "req_key", "left_semi"), self.universe)
+        return H.split_plan(self.valid.join(has_cand, "req_key", "left_semi"), self.universe).checkpoint()
 
     @cached_property
     def selection(self) -> DataFrame:
-        return H.latest_editions(self.candidates, self.plan)
+        """Chosen editions, materialised (at most five rows per request)."""
+        return H.latest_editions(self.candidates, self.plan).checkpoint()
 
     @cached_property
     def name_rows(self) -> DataFrame:

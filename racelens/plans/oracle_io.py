@@ -119,8 +119,10 @@ UNION ALL
 SELECT model_id, 'prediccion' FROM ({_PRED_IDS})""", "ipairs", "icounts", "ppairs", "pcounts"))
 
 oracle("model_index", tsql(f"""
-SELECT '[' || string_agg('"' || model_id || '"', ',' ORDER BY model_id) || ']' AS modelos_disponibles
-FROM ({_PRED_IDS})""", "ppairs", "pcounts"))
+SELECT coalesce((SELECT '[' || string_agg('"' || model_id || '"', ',' ORDER BY model_id) || ']'
+                 FROM ieval WHERE approved), '[]') AS modelos_disponibles,
+       (SELECT '[' || string_agg('"' || model_id || '"', ',' ORDER BY model_id) || ']'
+        FROM ({_PRED_IDS})) AS modelos_prediccion""", "ppairs", "pcounts", "ieval"))
 
 oracle("run_summary_write", tsql(f"""
 SELECT 'race_wide' AS carrera, '{RUN_TS}' AS timestamp, {len(IPAIRS)} AS total_modelos_teoricos,

@@ -228,8 +228,15 @@ def q_model_ids(spark, sf):
 
 @query("model_index")
 def q_model_index(spark, sf):
-    """The index of saved prediction files (three per evaluated pair)."""
-    return MF.model_index(_pred_quantile_ids(TCtx(spark, sf)))
+    """Index of saved models: the approved interpolation models (the
+    interpolation job's list) and the prediction files, which that trainer
+    writes for every evaluated pair (three quantiles each)."""
+    c = TCtx(spark, sf)
+    interp = MF.model_index(c.interp.evaluation.filter("approved").select("model_id"))
+    pred = MF.model_index(_pred_quantile_ids(c)).withColumnRenamed("modelos_disponibles", "modelos_prediccion")
+    # both sides are one-row aggregates bounded by the grid; the second is read as a scalar
+    return interp.select("modelos_disponibles",
+                         F.lit(pred.first()["modelos_prediccion"]).alias("modelos_prediccion"))
 
 
 @query("run_summary_write")

@@ -139,10 +139,12 @@ def race_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.select("race_id", "event_id", "event_std", catalog_split_names(year).alias("splits"))
 
 
-def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Literal edge-case requests plus one request per race edition."""
+def raw_requests(spark: SparkSession, sf_dir: str, catalog: DataFrame | None = None) -> DataFrame:
+    """Literal edge-case requests plus one request per race edition (taken
+    from the catalog when given, so the finishers are aggregated once)."""
     lit_df = spark.createDataFrame(LITERAL_REQUESTS, REQUEST_SCHEMA)
-    editions = (finishers(spark, sf_dir).select("race_id").distinct()
+    src = catalog if catalog is not None else finishers(spark, sf_dir)
+    editions = (src.select("race_id").distinct()
                 .select(F.concat(F.lit("ed-"), "race_id").alias("req_key"),
                         F.lit(None).cast("int").alias("req_pos"),
                         F.col("race_id").alias("nombre"),
