@@ -36,7 +36,9 @@ class Ctx:
 
     @cached_property
     def catalog(self) -> DataFrame:
-        return X.race_catalog(self.spark, self.sf)
+        """Catalog, materialised (one row per race edition and event): requests,
+        candidates and the R6 filter all read it."""
+        return X.race_catalog(self.spark, self.sf).checkpoint()
 
     @cached_property
     def wide(self) -> DataFrame:

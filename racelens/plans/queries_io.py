@@ -29,7 +29,7 @@ MODEL_BASE = "models"
 
 def _partitioned(c: Ctx) -> str:
     path = scratch_path(c.spark, "wide")
-    W.write_partitioned(c.wide, path)
+    W.write_partitioned(c.wide.checkpoint(), path)   # two writes (even/odd spellings) from one materialisation
     # a manifest and a junk file lie next to the data, as in the job's output folder
     c.spark.createDataFrame([("{}",)], "value string").coalesce(1).write.text(path + "/metadata.json")
     c.spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.text(path + "/junk")

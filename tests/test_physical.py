@@ -51,3 +51,12 @@ def test_lineitem_shuffled_once_for_wide(spark):
     p = _plan(X.race_wide(spark, SF_SMALL))
     # one exchange keyed by the order key feeds window, pivot and join
     assert p.count("hashpartitioning(l_orderkey") == 1
+
+
+def test_leg_window_limited_before_shuffle(spark):
+    """race_wide keeps legs 1..8: Spark's partial top-k per order runs before
+    the shuffle, so even an order holding a third of all line items sends at
+    most 8 rows per map task."""
+    p = _plan(X.race_wide(spark, SF_SMALL))
+    before, after = p.split("Exchange hashpartitioning(l_orderkey", 1)
+    assert "WindowGroupLimit" in after
