@@ -168,17 +168,19 @@ def pair_rows(wide: DataFrame, splits: list[str], pairs: list[Pair], row_key: st
         # pairs with prefix length i <= L: sum_{i=1..L} (n - i) = L*n - L(L+1)/2
         take = (L * n - L * (L + 1) / 2).cast("int")
     vals = F.array(*[F.col(f"`{s}`").cast("double") for s in splits])
+    # per-row attributes (hash buckets included) are computed once, before the expansion
     base = (wide.select(F.col(row_key).alias("row_key"), "athlete_id", F.col("age").cast("double").alias("age"),
                         N.gender_code(F.col("gender"), numeric=gender_numeric).cast("double").alias("gender"),
                         vals.alias("v"), prefix_complete_len(splits).alias("_L"))
-            .filter(F.col("age").isNotNull() & (F.col("_L") > 0)))
+            .filter(F.col("age").isNotNull() & (F.col("_L") > 0))
+            .withColumn("fold", fold_of(F.col("row_key")))
+            .withColumn("holdout", is_holdout(F.col("athlete_id"))))
     count_pairs = len(order)
-    ex = base.select("row_key", "athlete_id", "age", "gender", "v",
+    ex = base.select("row_key", "athlete_id", "age", "gender", "v", "fold", "holdout",
                      F.inline(F.slice(lit_pairs, F.lit(1), F.least(take, F.lit(count_pairs)))))
     out = ex.select("pair_id", "row_key", "athlete_id",
                     F.get(F.col("v"), F.col("t")).alias("y"), F.get(F.col("v"), F.col("p")).alias("x"),
-                    "age", "gender", fold_of(F.col("row_key")).alias("fold"),
-                    is_holdout(F.col("athlete_id")).alias("holdout"))
+                    "age", "gender", "fold", "holdout")
     return out if interp else out.filter(F.col("y").isNotNull())
 
 
