@@ -93,8 +93,48 @@ def race_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.sum(F.lit(BASE_SECS) + F.lit(SECS_PER_QTY) * F.col("l_quantity")).over(running).alias("secs"))
 
 
+LEG_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+def race_legs_ranged(spark: SparkSession, sf_dir: str, n_ranges: int | None = None) -> DataFrame:
+    """Leg number and running seconds without putting one order in one task.
+
+    ``repartitionByRange`` on (order, leg order) cuts the global order into
+    contiguous ranges, so an order holding a third of all line items is spread
+    over many tasks. Each (range, order) piece is ranked and summed locally
+    (bounded by one range), a small table of piece totals gives each piece
+    its offset (cumulative count and seconds of the earlier pieces of the
+    same order), and one join adds it back. Only orders at a range edge can
+    span ranges (at most two per range), so that table is bounded by the
+    number of ranges and is broadcast. Equal leg-order keys tie as in the
+    window version: same seconds, legs in either order."""
+    li = _read(spark, sf_dir, "lineitem", ["l_orderkey"] + LEG_ORDER)
+    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    w_secs = F.lit(BASE_SECS) + F.lit(SECS_PER_QTY) * F.col("l_quantity")
+    ranged = (li.repartitionByRange(n, "l_orderkey", *LEG_ORDER)
+              .withColumn("_piece", F.spark_partition_id())
+              .withColumn("_w", w_secs))
+    local = Window.partitionBy("_piece", "l_orderkey").orderBy(*LEG_ORDER)
+    run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = ranged.select("l_orderkey", "_piece", F.row_number().over(local).alias("_r"),
+                           F.sum("_w").over(run).alias("_s"))
+    # only orders at a range edge can continue into the next range: at most two
+    # candidates per range, so their totals and offsets are tiny (broadcast)
+    edges = ranged.groupBy("_piece").agg(F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
+    cand = edges.select(F.explode(F.array("lo", "hi")).alias("l_orderkey")).distinct()
+    totals = (pieces.join(F.broadcast(cand), "l_orderkey", "left_semi")
+              .groupBy("l_orderkey", "_piece").agg(F.max("_r").alias("_n"), F.max("_s").alias("_t")))
+    before = Window.partitionBy("l_orderkey").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("l_orderkey", "_piece",
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_on"),
+                            F.coalesce(F.sum("_t").over(before), F.lit(0.0)).alias("_os"))
+    return (pieces.join(F.broadcast(offsets), ["l_orderkey", "_piece"], "left")
+            .select("l_orderkey", (F.col("_r") + F.coalesce("_on", F.lit(0))).cast("int").alias("leg"),
+                    (F.col("_s") + F.coalesce("_os", F.lit(0.0))).alias("secs")))
+
+
 def race_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    legs = race_legs(spark, sf_dir)
+    legs = race_legs_ranged(spark, sf_dir)
     fin = finishers(spark, sf_dir)
     return (legs.join(fin, legs.l_orderkey == fin.finisher_id)
             .select("finisher_id", "athlete_id", "race_id", "event_id", "event_std", "gender", "age", "leg",

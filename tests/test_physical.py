@@ -60,3 +60,12 @@ def test_leg_window_limited_before_shuffle(spark):
     p = _plan(X.race_wide(spark, SF_SMALL))
     before, after = p.split("Exchange hashpartitioning(l_orderkey", 1)
     assert "WindowGroupLimit" in after
+
+
+def test_ranged_legs_equal_window_legs(spark):
+    """The hot-order-safe leg numbering equals the per-order window, also when
+    many small ranges make orders span several of them."""
+    a = X.race_legs(spark, SF_SMALL)
+    for n in (8, 997):
+        b = X.race_legs_ranged(spark, SF_SMALL, n_ranges=n)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
