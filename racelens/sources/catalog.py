@@ -38,6 +38,12 @@ def read_catalog_document(spark: SparkSession, path: str) -> DataFrame:
             .select("cat_pos", "entry_key", "e.race_id", "e.event_id", "e.event_std", "e.splits"))
 
 
+def write_catalog_lines(catalog: DataFrame, path: str) -> str:
+    """Catalog as JSON Lines, one entry per line, written by every task."""
+    catalog.select("race_id", "event_id", "event_std", "splits").write.mode("overwrite").json(path)
+    return path
+
+
 def read_catalog_lines(spark: SparkSession, path: str) -> DataFrame:
     """Catalog as JSON Lines (one entry per line), read in parallel."""
     return spark.read.schema(ENTRY_DDL).json(path)

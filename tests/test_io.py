@@ -64,3 +64,12 @@ def test_manifest_read_skips_missing_and_corrupt(spark):
     assert len(got) == 1 and got[0]["carrera"] == "r-2020"
     assert MF.manifest_read_first(spark, [base + "/nothing"]).count() == 0
     assert SF_SMALL
+
+
+def test_catalog_lines_round_trip(spark):
+    from racelens.plans.context import Ctx
+    c = Ctx(spark, SF_SMALL)
+    path = C.write_catalog_lines(c.catalog, scratch_path(spark, "cat-lines"))
+    back = C.read_catalog_lines(spark, path)
+    assert back.exceptAll(c.catalog.select(*back.columns)).count() == 0
+    assert back.count() == c.catalog.count()

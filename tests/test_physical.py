@@ -69,3 +69,13 @@ def test_ranged_legs_equal_window_legs(spark):
     for n in (8, 997):
         b = X.race_legs_ranged(spark, SF_SMALL, n_ranges=n)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_no_cartesian_or_python_in_key_plans(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    for key in ["training_table", "split_plan", "closest_split", "split_equivalent", "error_metrics",
+                "training_row_report", "extrapolated_metrics"]:
+        p = _plan(q[key](spark, SF_SMALL))
+        assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, key
+        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
