@@ -6,16 +6,16 @@ needs memory proportional to its distinct values. ``bracket_quantiles``
 returns the same numbers (linear interpolation between order statistics,
 position (n-1)p) in three distributed passes:
 
-1. per group: n and ``percentile_approx`` at p -/+ 2/accuracy, whose ranks
-   bracket the wanted order statistics (rank error <= n/accuracy);
-2. per group and p: how many values lie below the bracket, and the values
-   inside it (about 4n/accuracy rows per group and p);
-3. ``row_number`` over the bracketed rows only, pick ranks k and k+1,
-   interpolate.
-
-A bracket that misses (possible only for tiny groups or heavy ties at the
-edge) is widened to the whole value range for that group and p, which is
-always correct.
+1. per group: n and ``percentile_approx`` at p -/+ 4/accuracy, whose ranks
+   bracket the wanted order statistics (rank error <= n/accuracy, with room
+   for merged sketches);
+2. per group and p: how many values lie below the bracket, equal to either
+   edge, and strictly inside it (about 8n/accuracy rows);
+3. ``row_number`` over the strictly-inside rows only, pick ranks k and k+1
+   (edge values are known from the counts), interpolate.
+
+A bracket that misses (possible only for tiny groups) is widened to the
+whole value range for that group and p, which is always correct.
 """
 
 from __future__ import annotations
