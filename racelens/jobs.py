@@ -85,7 +85,11 @@ def main(argv: list[str]) -> int:
     from racelens.session import get_spark
     sf_dir, out_dir = argv[1], argv[2]
     which = argv[3] if len(argv) > 3 else "all"
+    from racelens.session import input_size, shuffle_partitions_for
     spark = get_spark()
+    size = input_size(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")])
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   str(shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)))
     wide = X.race_wide(spark, sf_dir)
     if which in ("table", "all"):
         print(training_table_job(spark, wide, X.race_catalog(spark, sf_dir), X.raw_requests(spark, sf_dir),

@@ -20,6 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # partition sizing: 256 MB scan splits and shuffle targets keep a task's
+    # working set well inside executor memory; AQE coalesces small ones
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -43,6 +47,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, total_cores: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Initial shuffle partitions for a cluster run: enough for ~256 MB per
+    partition of the input (AQE coalesces what turns out small), never fewer
+    than two waves of tasks over the cores."""
+    return max(2 * total_cores, -(-input_bytes // target_bytes))
+
+
+def input_size(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes below the given paths (file listing only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create one only in local mode."""
     sc = spark.sparkContext
