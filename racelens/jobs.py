@@ -88,8 +88,11 @@ def main(argv: list[str]) -> int:
     from racelens.session import input_size, shuffle_partitions_for
     spark = get_spark()
     size = input_size(spark, [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")])
+    # cluster sizing: ~256 MB per scan split and shuffle partition (AQE coalesces)
     spark.conf.set("spark.sql.shuffle.partitions",
                    str(shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024 * 1024))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024 * 1024))
     wide = X.race_wide(spark, sf_dir)
     if which in ("table", "all"):
         print(training_table_job(spark, wide, X.race_catalog(spark, sf_dir), X.raw_requests(spark, sf_dir),

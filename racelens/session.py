@@ -22,8 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # partition sizing: 256 MB scan splits and shuffle targets keep a task's
     # working set well inside executor memory; AQE coalesces small ones
-    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
