@@ -12,8 +12,9 @@ the estimate drops it with less than 1e-8 (six standard deviations).
 
 Groups of copies never become all pairs. Documents with equal sets share one
 class. Inside a band's bucket every class meets only the smallest one (a
-star); after these links are joined into components, only pairs whose ends
-still lie in different components are compared. No bucket is capped.
+star); after these links are joined into components, members outside the
+centre's component meet the members of other components, in blocks and on
+full sets. No bucket is capped.
 
 Rows with a null text or without words have an empty set and link with
 nothing. A null doc_id takes no part in links and is kept. Rows that repeat a
@@ -36,6 +37,7 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
 SIGMAS = 6.0
+BLOCK = 128
 WORD_CACHE = 400_000
 
 _rng = np.random.default_rng(20_260_301)
@@ -161,7 +163,7 @@ def _confirmed(docs: DataFrame, sigs: DataFrame, pairs: DataFrame, k: int, perce
     near = pairs.join(x, "a").join(y, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     near = near.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(_likely(percent / 100), "a long, b long")
     near = shared(spark, near, f"{name}-likely")
-    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().hint("merge")
     sets = docs.join(ids, docs.doc_id == ids.id, "left_semi").mapInArrow(_sets(k), "id long, shingles binary")
     sets = shared(spark, sets, f"{name}-sets")
     x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -170,6 +172,84 @@ def _confirmed(docs: DataFrame, sigs: DataFrame, pairs: DataFrame, k: int, perce
     return shared(spark, full, f"{name}-links")
 
 
+def _blocks(percent: int):
+    """Compares, per (key, member block, outsider block), outsiders with members of other parts.
+
+    Reads rows sorted by block; a block holds at most a few hundred sets.
+    Yields only links that join two parts, a spanning forest of the block.
+    """
+
+    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+        members, outsiders = ([r for r in rows if r[0] == side] for side in (0, 1))
+        if not members or not outsiders:
+            return []
+        sets = [np.frombuffer(r[3], np.uint64) for r in members]
+        values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        sizes, root, out = np.array([len(x) for x in sets]), {}, []
+
+        def find(p):
+            while root.setdefault(p, p) != p:
+                p = root[p]
+            return p
+
+        for _, i, part, raw in outsiders:
+            x = np.frombuffer(raw, np.uint64)
+            at = np.minimum(np.searchsorted(x, values), len(x) - 1)
+            both = np.bincount(owner[x[at] == values], minlength=len(sets))
+            for j in np.flatnonzero(100 * both >= percent * (sizes + len(x) - both)):
+                p, q = find(part), find(members[j][2])
+                if p != q:
+                    root[p] = q
+                    out.append((i, members[j][1]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def close():
+            found = compare(rows)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+        for b in batches:
+            for k, mb, ob, *row in zip(*(b.column(c).to_pylist() for c in range(7)), strict=True):
+                if (k, mb, ob) != key:
+                    if rows:
+                        yield close()
+                    key, rows = (k, mb, ob), []
+                rows.append(tuple(row))
+        if rows:
+            yield close()
+
+    return run
+
+
+def _cross_links(docs: DataFrame, buckets: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between members of one bucket that the stars left in different components.
+
+    Outsiders of a bucket (members outside the component of its star's centre)
+    meet every member of another component, on full sets. The comparison runs
+    in blocks of about BLOCK members by BLOCK outsiders, so a bucket of any
+    size is spread over tasks and no pair is written unless it is a link.
+    """
+    spark = docs.sparkSession
+    placed = buckets.join(groups, "id", "left").select("key", "lead", "id", F.coalesce("component", "id").alias("part"))
+    placed = shared(spark, placed, "minhash-placed")
+    own = placed.groupBy("key").agg(F.max(F.when(F.col("id") == F.col("lead"), F.col("part"))).alias("own"), F.count("*").alias("members"))
+    sized = placed.join(own, "key").select("key", "id", "part", "members", (F.col("part") != F.col("own")).alias("out"))
+    outsiders = sized.where("out").groupBy("key").agg(F.count("*").alias("outsiders"))
+    # a bucket of two is settled by its star
+    rows = sized.where("members > 2").join(outsiders, "key")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    spread = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    spot = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
+    members = rows.select("key", spot("members").alias("mb"), spread("outsiders").alias("ob"), F.lit(0).alias("side"), "id", "part")
+    others = rows.where("out").select("key", spread("members").alias("mb"), spot("outsiders").alias("ob"), F.lit(1).alias("side"), "id", "part")
+    rows = shared(spark, members.unionByName(others), "minhash-blocks")
+    sets = docs.join(rows.select("id").distinct().hint("merge"), docs.doc_id == F.col("id"), "left_semi").mapInArrow(_sets(k), "id long, shingles binary")
+    rows = rows.join(sets, "id").select("key", "mb", "ob", "side", "id", "part", "shingles")
+    return shared(spark, rows.repartition("key", "mb", "ob").sortWithinPartitions("key", "mb", "ob").mapInArrow(_blocks(percent), "a long, b long"), "minhash-cross-links")
+
+
 def near_duplicates(spark: SparkSession, documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Per row of `documents`: doc_id, n_shingles, component_id, kept."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -189,12 +269,7 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, k: int = 5, perce
     links = _confirmed(docs, reps, stars, k, percent, "minhash-star")
     groups = components(spark, links, "minhash-star")
 
-    placed = buckets.join(groups, "id", "left").select("key", "lead", "id", F.coalesce("component", "id").alias("part"))
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key")
-    rest = placed.where("id <> lead").join(open_keys, "key", "left_semi")
-    x, y = (rest.select("key", F.col("id").alias(i), F.col("part").alias(f"part_{i}")) for i in "ab")
-    cross = x.join(y, "key").where("part_a < part_b").select("a", "b").distinct()
-    more = _confirmed(docs, reps, cross, k, percent, "minhash-cross")
+    more = _cross_links(docs, buckets, groups, k, percent)
     groups = components(spark, links.unionByName(more), "minhash-all")
 
     member = sigs.join(classes, ["d1", "d2"], "left").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
