@@ -45,8 +45,7 @@ def training_table_job(spark: SparkSession, wide: DataFrame, catalog: DataFrame,
     plan = H.split_plan(valid.join(cands.select("req_key").distinct(), "req_key", "left_semi"), universe)
     plan = plan.checkpoint()
     selection = H.latest_editions(cands, plan).checkpoint()
-    few = selection.select("race_id", "event_id").distinct().limit(T.LITERAL_PRUNE_MAX_PAIRS + 1).collect()
-    prune = [(r[0], r[1]) for r in few] if len(few) <= T.LITERAL_PRUNE_MAX_PAIRS else None
+    prune = [(r[0], r[1]) for r in selection.select("race_id", "event_id").distinct().collect()]  # catalog metadata
     table = T.training_table(wide, selection, plan, valid, split_columns, n_req, prune)
     table.write.mode("overwrite").option("compression", "snappy").partitionBy("req_key").parquet(f"{out_dir}/data")
     names = Q.run_names(valid, F.lit(run_ts)).select("req_key", "result_table")
@@ -58,7 +57,7 @@ def training_table_job(spark: SparkSession, wide: DataFrame, catalog: DataFrame,
     return {r["outcome"]: r["count"] for r in outcomes}
 
 
-def interpolation_job(spark: SparkSession, wide: DataFrame, out_dir: str, quantile_mode: str = "auto") -> dict:
+def interpolation_job(spark: SparkSession, wide: DataFrame, out_dir: str, quantile_mode: str = "bracket") -> dict:
     ensure_checkpoint_dir(spark)
     run = InterpolationRun(wide, quantile_mode=quantile_mode).materialize()
     ev = run.evaluation.checkpoint()
@@ -72,7 +71,7 @@ def interpolation_job(spark: SparkSession, wide: DataFrame, out_dir: str, quanti
     return {"splits": run.splits, "pairs": len(run.pairs), **stats}
 
 
-def prediction_job(spark: SparkSession, wide: DataFrame, out_dir: str, quantile_mode: str = "auto") -> dict:
+def prediction_job(spark: SparkSession, wide: DataFrame, out_dir: str, quantile_mode: str = "bracket") -> dict:
     ensure_checkpoint_dir(spark)
     run = PredictionRun(wide, quantile_mode=quantile_mode).materialize()
     report = run.report.checkpoint()
@@ -96,7 +95,7 @@ def main(argv: list[str]) -> int:
     wide = X.race_wide(spark, sf_dir)
     if which in ("table", "all"):
         print(training_table_job(spark, wide, X.race_catalog(spark, sf_dir), X.raw_requests(spark, sf_dir),
-                                 X.wide_split_names(), f"{out_dir}/table", "20260303-085722",
+                                 X.wide_split_names(X.leg_count(spark, sf_dir)), f"{out_dir}/table", "20260303-085722",
                                  strict=False))   # the fixture batch holds one invalid request on purpose
     if which in ("interp", "all"):
         print(interpolation_job(spark, wide, f"{out_dir}/interp"))

@@ -159,7 +159,7 @@ def fit_boosted(train: DataFrame, features: list[str], label: str = "y", params:
     from pyspark.ml.regression import GBTRegressor
     p = dict(GBT_INTERP if params is None else params)
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="pred", **p)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"), gbt])
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"), gbt])
     return pipe.fit(train)
 
 

@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 100_000
-EXACT_MAX_GROUP = 2_000_000       # 'auto' uses Spark's exact percentile below this group size
 
 
 def bracket_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
@@ -37,7 +36,8 @@ def bracket_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     eps = 4.0 / accuracy
     lo_p = [max(0.0, p - eps) for p in probs]
     hi_p = [min(1.0, p + eps) for p in probs]
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    # the values are read three times: materialised once, as two narrow columns, in the shared checkpoint folder
+    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()).checkpoint()
     stats = v.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", lo_p, accuracy).alias("_lo"),
@@ -48,7 +48,7 @@ def bracket_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
         *keys, "_n", "_i", F.col("_b.p").alias("p"), F.col("_b.lo").alias("lo"), F.col("_b.hi").alias("hi"),
         "_min", "_max")
     pos = (F.col("_n") - 1) * F.col("p")
-    br = br.select("*", F.floor(pos).cast("long").alias("k"), (pos - F.floor(pos)).alias("frac"))
+    br = br.select("*", F.floor(pos).cast("long").alias("k"), (pos - F.floor(pos)).alias("frac")).checkpoint()
 
     def counted(b: DataFrame) -> DataFrame:
         j = v.join(b, keys)
@@ -59,14 +59,14 @@ def bracket_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
             F.count_if((F.col("_v") == F.col("hi")) & (F.col("hi") > F.col("lo"))).alias("c_hi"))
         return b.join(c, keys + ["_i"])
 
-    chk = counted(br)
+    chk = counted(br).checkpoint()
     need = F.least(F.col("k") + 2, F.col("_n"))
     ok = (F.col("below") <= F.col("k")) & (F.col("below") + F.col("c_lo") + F.col("c_mid") + F.col("c_hi") >= need)
     good = chk.filter(ok)
     # a missed bracket (tiny groups) is widened to the full value range
     bad = counted(chk.filter(~ok).select(*keys, "_n", "_i", "p", F.col("_min").alias("lo"),
                                          F.col("_max").alias("hi"), "_min", "_max", "k", "frac"))
-    allb = good.unionByName(bad)
+    allb = good.unionByName(bad).checkpoint()
 
     def which(r: Column) -> Column:
         return (F.when(r < F.col("below") + F.col("c_lo"), F.lit("lo"))

@@ -27,20 +27,15 @@ class _Run:
     kind = ""
 
     def __init__(self, wide: DataFrame, mode: str = "strict", min_samples: int = G.MIN_SAMPLES,
-                 quantile_mode: str = "auto"):
-        """quantile_mode: 'exact' (Spark percentile), 'bracket' (exact, bounded
-        memory per pair), 'approx', or 'auto' = 'bracket' once the largest pair
-        exceeds ``EXACT_MAX_GROUP`` rows (one grid-sized aggregate decides)."""
+                 quantile_mode: str = "bracket"):
+        """quantile_mode: 'bracket' (exact, bounded memory per pair), 'exact'
+        (Spark percentile, to compare with) or 'approx'."""
         self.wide, self.mode, self.min_samples, self.quantile_mode = wide, mode, min_samples, quantile_mode
         self.spark = wide.sparkSession
 
     @cached_property
     def exact(self) -> str:
-        if self.quantile_mode != "auto":
-            return self.quantile_mode
-        from racelens.operators.quantiles import EXACT_MAX_GROUP
-        biggest = self.counts.agg(F.max("n_complete")).first()[0] or 0
-        return "bracket" if biggest > EXACT_MAX_GROUP else "exact"
+        return self.quantile_mode
 
     @cached_property
     def detected(self) -> list[str]:

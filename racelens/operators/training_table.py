@@ -2,11 +2,11 @@
 
 The wide results table is the only large input. It meets the selection
 (at most five catalog entries per request) through a join whose small side
-has a proven row bound (5 x number of requests); it is broadcast only when
-that bound is below ``BROADCAST_MAX_ROWS``, otherwise Spark shuffles.
-When the chosen (race, event) pairs are few, they are also turned into a
-literal predicate so that a partitioned source is pruned at planning time
-(``PartitionFilters``).
+has a proven row bound (5 x number of requests); whether it is broadcast is
+left to Spark's check of its size in bytes.
+The chosen (race, event) pairs, metadata of the same bound, are also turned
+into a literal predicate so that a partitioned source is pruned at planning
+time (``PartitionFilters``).
 
 The multi-request table is long: (request, athlete row, split, seconds).
 Each request's plan travels with its selection rows as an array; values are
@@ -21,25 +21,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from racelens.operators.history import KIND_DIRECT, KIND_IMPOSSIBLE, MAX_EDITIONS
+from racelens.operators.history import KIND_DIRECT, KIND_IMPOSSIBLE
 from racelens.operators.requests import clean_filter
 
-BROADCAST_MAX_ROWS = 200_000     # bound on broadcast selection rows
-LITERAL_PRUNE_MAX_PAIRS = 1_000  # chosen pairs turned into a literal partition filter
-
 ID_COLUMNS = ["athlete_id", "event_id", "event_std", "gender", "age"]
 
 
-def bounded_broadcast(df: DataFrame, bound_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its proven row bound is small enough."""
-    return F.broadcast(df) if bound_rows <= BROADCAST_MAX_ROWS else df
-
-
 def literal_pair_filter(pairs: list[tuple[str, str]]) -> F.Column | None:
-    """OR of (race_id = r AND event_id = e): static partition pruning."""
-    if not pairs or len(pairs) > LITERAL_PRUNE_MAX_PAIRS:
+    """One condition per set of events, over all races that have it: static partition pruning."""
+    if not pairs:
         return None
-    conds = [(F.col("race_id") == r) & (F.col("event_id") == e) for r, e in sorted(set(pairs))]
+    events: dict[str, set[str]] = {}
+    for r, e in pairs:
+        events.setdefault(r, set()).add(e)
+    races: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(events):
+        races.setdefault(tuple(sorted(events[r])), []).append(r)
+    conds = [F.col("race_id").isin(rs) & F.col("event_id").isin(list(es)) for es, rs in races.items()]
     return reduce(lambda a, b: a | b, conds)
 
 
@@ -55,7 +53,6 @@ def result_filter(wide: DataFrame, selection: DataFrame, requests: DataFrame, n_
         lit_cond = literal_pair_filter(prune_pairs)
         if lit_cond is not None:
             wide = wide.filter(lit_cond)
-    sel = bounded_broadcast(sel, MAX_EDITIONS * n_requests)
     j = wide.join(sel, ["race_id", "event_id"])
     return j.filter((F.col("eid_f").isNull() | (F.col("event_id") == F.col("eid_f")))
                     & (F.col("estd_f").isNull() | (F.col("event_std") == F.col("estd_f"))))

@@ -40,6 +40,11 @@ class Ctx:
         candidates and the R6 filter all read it."""
         return X.race_catalog(self.spark, self.sf).checkpoint()
 
+    @cached_property
+    def splits(self) -> list[str]:
+        """Split columns of the wide table, as many as the data has legs."""
+        return X.wide_split_names(X.leg_count(self.spark, self.sf))
+
     @cached_property
     def wide(self) -> DataFrame:
         return X.race_wide(self.spark, self.sf)

@@ -69,8 +69,10 @@ SELECT name AS column_name, {_detect('name', 'strict')} AS is_split_strict,
 FROM (SELECT DISTINCT name FROM (
         SELECT name FROM name_rows
         UNION ALL
-        SELECT unnest(['finisher_id', 'athlete_id', 'race_id', 'event_id', 'event_std', 'gender', 'age',
-                       'km_5', 'km_10', 'km_15', 'km_20', 'km_25', 'km_30', 'km_35', 'km_40'])))""", "name_rows"))
+        SELECT name FROM legs
+        UNION ALL
+        SELECT unnest(['finisher_id', 'athlete_id', 'race_id', 'event_id', 'event_std', 'gender', 'age'])))""",
+                            "name_rows", "legs"))
 
 oracle("column_normalise", nsql("""
 SELECT name AS column_name, translate(name, '.- ', '___') AS normalised
@@ -126,7 +128,7 @@ SELECT req_key, nombre, tipo_modelo, tipo_modelo IN ('interpolacion', 'prediccio
             ELSE 'unknown tipo_modelo: ' || tipo_modelo END AS reason
 FROM req_norm""", "req_norm"))
 
-oracle("run_timestamp", "SELECT '20260303-085722' AS run_ts")
+oracle("run_timestamp", "SELECT strftime(max(o_orderdate), '%Y%m%d-%H%M%S') AS run_ts FROM orders")
 
 oracle("run_names", nsql("""
 SELECT req_key, nombre, nombre || '-' || '20260303-085722' AS model_folder,

@@ -1,7 +1,6 @@
 """DuckDB oracle: the derived race tables and the selection logic as SQL.
 
-These statements are independent of the Spark code: they solve the same
-problems the straightforward way (cross products of split names, explicit
+These statements solve the same problems the straightforward way (cross products of split names, explicit
 unpivots) because the oracle only has to be right, not scalable. Tables
 ``lineitem``, ``orders`` and ``customer`` are views registered by the
 checker. ``sql(body, *deps)`` prefixes the needed CTEs in dependency order.
@@ -65,26 +64,25 @@ CTES: dict[str, tuple[list[str], str]] = {
   SELECT f.finisher_id, f.athlete_id, f.race_id, f.event_id, f.event_std, f.gender, f.age, l.leg,
          'km_' || CAST(5 * l.leg AS VARCHAR) AS split, CAST(5.0 * l.leg AS DOUBLE) AS dist_km, l.secs
   FROM race_legs l JOIN finishers f ON l.l_orderkey = f.finisher_id"""),
+    # the columns of the wide table that queries name one by one; all others are read from race_long
     "race_wide": (["finishers", "race_legs"], """
   SELECT f.finisher_id, f.athlete_id, f.race_id, f.event_id, f.event_std, f.gender, f.age, w.*
-  FROM (SELECT l_orderkey AS wk,
-          max(CASE WHEN leg = 1 THEN secs END) AS km_5, max(CASE WHEN leg = 2 THEN secs END) AS km_10,
-          max(CASE WHEN leg = 3 THEN secs END) AS km_15, max(CASE WHEN leg = 4 THEN secs END) AS km_20,
-          max(CASE WHEN leg = 5 THEN secs END) AS km_25, max(CASE WHEN leg = 6 THEN secs END) AS km_30,
-          max(CASE WHEN leg = 7 THEN secs END) AS km_35, max(CASE WHEN leg = 8 THEN secs END) AS km_40
+  FROM (SELECT l_orderkey AS wk, max(CASE WHEN leg = 1 THEN secs END) AS km_5,
+          max(CASE WHEN leg = 2 THEN secs END) AS km_10, max(CASE WHEN leg = 4 THEN secs END) AS km_20
         FROM race_legs GROUP BY l_orderkey) w
   JOIN finishers f ON w.wk = f.finisher_id"""),
-    "wide_long": (["race_wide"], """
-  SELECT finisher_id, col, secs FROM race_wide
-  UNPIVOT (secs FOR col IN (km_5, km_10, km_15, km_20, km_25, km_30, km_35, km_40))"""),
+    "legs": (["race_legs"], """
+  SELECT DISTINCT leg AS k, 'km_' || CAST(5 * leg AS VARCHAR) AS name FROM race_legs"""),
+    "wide_long": (["race_long"], """
+  SELECT finisher_id, split AS col, secs FROM race_long"""),
     "race_catalog": (["finishers"], """
   SELECT race_id, event_id, max(event_std) AS event_std,
          TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) AS year
   FROM finishers GROUP BY race_id, event_id"""),
-    "catalog_splits": (["race_catalog"], """
+    "catalog_splits": (["race_catalog", "legs"], """
   SELECT c.race_id, c.event_id, CAST(t.k AS INTEGER) - 1 AS pos,
          'km_' || CAST(5 * t.k AS VARCHAR) || CASE WHEN c.year % 2 = 1 THEN '_0' ELSE '' END AS split
-  FROM race_catalog c, range(1, 9) t(k)
+  FROM race_catalog c, legs t
   WHERE NOT (c.year % 4 = 0 AND t.k = 4)"""),
     "raw_requests": (["finishers"], f"""
   SELECT * FROM (VALUES

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from racelens.plans.oracle import oracle
-from racelens.plans.oracle_train import IPAIRS, PPAIRS, SPLITS, tsql
+from racelens.plans.oracle_train import tsql
 
 RUN_TS = "20260303-085722"
-_W = ", ".join(SPLITS)
 
 oracle("catalog_scan", tsql("""
 SELECT CAST(row_number() OVER (ORDER BY c.race_id, c.event_id) - 1 AS INTEGER) AS cat_pos,
@@ -15,11 +14,10 @@ FROM race_catalog c
 JOIN (SELECT race_id, event_id, string_agg(split, ',' ORDER BY pos) AS splits FROM catalog_splits GROUP BY 1, 2) s
   ON c.race_id = s.race_id AND c.event_id = s.event_id""", "race_catalog", "catalog_splits"))
 
-oracle("wide_scan", tsql(f"""
-SELECT finisher_id, athlete_id, race_id, event_id, event_std, gender, age,
-       {", ".join(f"CASE WHEN TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) % 2 = 0 THEN {s} END AS {s}"
-                  for s in SPLITS)}
-FROM race_wide""", "race_wide"))
+oracle("wide_scan", tsql("""
+SELECT DISTINCT r.finisher_id, r.athlete_id, r.race_id, r.event_id, r.event_std, r.gender, r.age,
+       CASE WHEN even THEN split END AS split, CASE WHEN even THEN secs END AS secs
+FROM (SELECT *, TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) % 2 = 0 AS even FROM race_long) r""", "race_long"))
 
 oracle("column_def_parse", tsql("""
 SELECT req_key, pos, definition, regexp_extract(definition, '^\\s*"?([^"\\s]+)"?\\s*([A-Za-z0-9_<>,()]*)\\s*$', 1) AS name,
@@ -85,13 +83,10 @@ oracle("latest_manifest", tsql(_JOB.format(
                      "splits_interpolados, CAST(p.imp AS INTEGER) AS splits_imposibles"),
     "req_valid", "plan", "selection"))
 
-oracle("recursive_load", tsql(f"""
+oracle("recursive_load", tsql("""
 SELECT finisher_id, athlete_id, event_std, gender, age,
-       {", ".join(f"CASE WHEN TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) % 2 = 0 THEN {s} END AS {s}"
-                  for s in SPLITS)},
-       {", ".join(f"CASE WHEN TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) % 2 = 1 THEN {s} END AS {s}_0"
-                  for s in SPLITS)}
-FROM race_wide""", "race_wide"))
+       split || CASE WHEN TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) % 2 = 1 THEN '_0' ELSE '' END AS split, secs
+FROM race_long""", "race_long"))
 
 oracle("metrics_csv", tsql("""
 SELECT p.model_id, p.target, p.position, round(f.mae_folds_mean, 4) AS mae, round(f.mae_folds_std, 4) AS mae_std,
@@ -125,8 +120,8 @@ SELECT coalesce((SELECT '[' || string_agg('"' || model_id || '"', ',' ORDER BY m
         FROM ({_PRED_IDS})) AS modelos_prediccion""", "ppairs", "pcounts", "ieval"))
 
 oracle("run_summary_write", tsql(f"""
-SELECT 'race_wide' AS carrera, '{RUN_TS}' AS timestamp, {len(IPAIRS)} AS total_modelos_teoricos,
-       count(*) FILTER (WHERE g.approved) AS modelos_guardados, '{",".join(SPLITS)}' AS splits,
+SELECT 'race_wide' AS carrera, '{RUN_TS}' AS timestamp, (SELECT CAST(count(*) AS INTEGER) FROM ipairs) AS total_modelos_teoricos,
+       count(*) FILTER (WHERE g.approved) AS modelos_guardados, (SELECT string_agg(name, ',' ORDER BY k) FROM legs) AS splits,
        100 AS n_estimators, 10 AS max_depth,
        (SELECT round(coalesce(avg(mae_folds_mean), 0.0), 6) FROM ieval WHERE approved) AS mae_promedio,
        (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM ieval WHERE approved) AS total_muestras,
@@ -134,6 +129,5 @@ SELECT 'race_wide' AS carrera, '{RUN_TS}' AS timestamp, {len(IPAIRS)} AS total_m
        count(*) FILTER (WHERE NOT c.trained) AS insuficientes,
        round(CASE WHEN count(g.score) > 0 THEN (count(*) FILTER (WHERE g.approved)) / count(g.score) ELSE 0.0 END, 4)
          AS tasa_aprobacion
-FROM icounts c LEFT JOIN igate g ON c.pair_id = g.pair_id""", "icounts", "igate", "ieval"))
+FROM icounts c LEFT JOIN igate g ON c.pair_id = g.pair_id""", "icounts", "igate", "ieval", "ipairs", "legs"))
 
-_ = PPAIRS  # grid metadata shared with the training oracle

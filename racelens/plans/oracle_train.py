@@ -1,20 +1,14 @@
 """Oracle SQL for the training side (T, M, E, P keys).
 
-The grid is expanded with one ``SELECT`` per pair (``UNION ALL``); fold and
+The grid is a join of the distinct legs found in the data; fold and
 hold-out buckets use ``'0x' || md5 prefix`` cast to BIGINT. Model-derived
 floats are rounded to 4 decimals as in the Spark queries.
 """
 
 from __future__ import annotations
 
-from racelens.operators import grid as G
 from racelens.plans.oracle import oracle
-from racelens.plans.oracle_base import sq, sql
-from racelens.sources import fixtures as X
-
-SPLITS = X.wide_split_names()
-IPAIRS = G.interp_pairs(SPLITS)
-PPAIRS = G.pred_pairs(SPLITS)
+from racelens.plans.oracle_base import sql
 
 GENDER = ("CAST(CASE WHEN gender IN ('M', 'male', 'Male', 'MALE') THEN 0 "
           "WHEN gender IN ('F', 'female', 'Female', 'FEMALE') THEN 1 ELSE 0 END AS DOUBLE)")
@@ -22,24 +16,33 @@ FOLD = "CAST(CAST('0x' || substr(md5(CAST(finisher_id AS VARCHAR)), 1, 8) AS BIG
 HOLDOUT = "(CAST('0x' || substr(md5('42:' || athlete_id), 1, 8) AS BIGINT) % 100 < 20)"
 
 
-def _rows(pairs) -> str:
-    parts = []
-    for p in pairs:
-        req = " AND ".join(f"{SPLITS[i]} IS NOT NULL" for i in p.required)
-        parts.append(
-            f"SELECT {p.pair_id} AS pair_id, finisher_id AS row_key, athlete_id, {SPLITS[p.t_idx]} AS y, "
-            f"{SPLITS[p.p_idx]} AS x, CAST(age AS DOUBLE) AS age, {GENDER} AS gender, {FOLD} AS fold, "
-            f"{HOLDOUT} AS holdout FROM race_wide WHERE {req} AND age IS NOT NULL")
-    return "\n  UNION ALL\n  ".join(parts)
-
-
-def _pairs(pairs) -> str:
-    vals = ", ".join(
-        f"({p.pair_id}, {sq(p.model_id)}, {sq(p.target)}, {sq(p.position)}, {G.N_km(p.target)}::DOUBLE, "
-        f"{G.N_km(p.position)}::DOUBLE, {sq(','.join(p.features))}, {len(p.features)}, "
-        f"{sq('_'.join(p.prefix)) if p.prefix else 'NULL'}, {sq(p.kind)})" for p in pairs)
-    return (f"SELECT * FROM (VALUES {vals}) t(pair_id, model_id, target, position, target_km, position_km, "
-            f"features, n_features, prefix, kind)")
+# the grid from the distinct legs of the data: legs 1..n, all (target, later position) and (prefix, future)
+_IPAIRS = """
+  SELECT CAST(row_number() OVER (ORDER BY t.k, p.k) - 1 AS INTEGER) AS pair_id,
+         t.name || '_desde_' || p.name AS model_id, t.name AS target, p.name AS position,
+         CAST(5 * t.k AS DOUBLE) AS target_km, CAST(5 * p.k AS DOUBLE) AS position_km,
+         (SELECT string_agg(l.name, ',' ORDER BY l.k) FROM legs l WHERE l.k <= p.k AND l.k <> t.k) || ',age,gender' AS features,
+         CAST(p.k + 1 AS INTEGER) AS n_features, CAST(NULL AS VARCHAR) AS prefix, 'interpolacion' AS kind,
+         t.k AS y_leg, p.k AS x_leg
+  FROM legs t JOIN legs p ON t.k < p.k"""
+_PPAIRS = """
+  SELECT CAST(999 + row_number() OVER (ORDER BY i.k, f.k) AS INTEGER) AS pair_id,
+         'pred_' || x.names || '_to_' || replace(f.name, 'km_', '') AS model_id, f.name AS target, i.name AS position,
+         CAST(5 * f.k AS DOUBLE) AS target_km, CAST(5 * i.k AS DOUBLE) AS position_km,
+         replace(x.names, '_km', ',km') || ',age,gender' AS features, CAST(i.k + 2 AS INTEGER) AS n_features,
+         x.names AS prefix, 'prediccion' AS kind, f.k AS y_leg, i.k AS x_leg
+  FROM legs i JOIN legs f ON i.k < f.k
+  JOIN (SELECT a.k, string_agg(b.name, '_' ORDER BY b.k) AS names FROM legs a JOIN legs b ON b.k <= a.k GROUP BY a.k) x
+    ON x.k = i.k"""
+
+
+def _rows(pairs: str) -> str:
+    """Rows of a pair: finishers that have both legs (and so all before the later one)."""
+    return f"""
+  SELECT p.pair_id, f.finisher_id AS row_key, f.athlete_id, y.secs AS y, x.secs AS x, CAST(f.age AS DOUBLE) AS age,
+         {GENDER} AS gender, {FOLD} AS fold, {HOLDOUT} AS holdout
+  FROM {pairs} p JOIN race_legs y ON y.leg = p.y_leg JOIN race_legs x ON x.leg = p.x_leg AND x.l_orderkey = y.l_orderkey
+  JOIN finishers f ON f.finisher_id = y.l_orderkey WHERE f.age IS NOT NULL"""
 
 
 def _moments(src: str, keys: str, pre: str) -> str:
@@ -73,10 +76,10 @@ def _gate(src: str) -> str:
 
 
 _T = {
-    "ipairs": ([], _pairs(IPAIRS)),
-    "ppairs": ([], _pairs(PPAIRS)),
-    "irows": (["race_wide"], _rows(IPAIRS)),
-    "prows": (["race_wide"], _rows(PPAIRS)),
+    "ipairs": (["legs"], _IPAIRS),
+    "ppairs": (["legs"], _PPAIRS),
+    "irows": (["ipairs", "finishers", "race_legs"], _rows("ipairs")),
+    "prows": (["ppairs", "finishers", "race_legs"], _rows("ppairs")),
     "icounts": (["irows", "ipairs"], """
   SELECT p.pair_id, coalesce(c.n, 0) AS n_complete, coalesce(c.n, 0) >= 20 AS trained
   FROM ipairs p LEFT JOIN (SELECT pair_id, count(*) AS n FROM irows GROUP BY pair_id) c ON p.pair_id = c.pair_id"""),
@@ -164,9 +167,9 @@ oracle("min_samples", tsql(
     _ids("icounts", "i", "s.n_complete, s.trained") + " UNION ALL " + _ids("pcounts", "p", "s.n_complete, s.trained"),
     "ipairs", "ppairs", "icounts", "pcounts"))
 
-oracle("empty_splits", tsql("SELECT split, ord, n_values, n_values > 0 AS has_data FROM (" + " UNION ALL ".join(
-    f"SELECT '{s}' AS split, {i} AS ord, count({s}) AS n_values FROM race_wide" for i, s in enumerate(SPLITS))
-    + ")", "race_wide"))
+oracle("empty_splits", tsql("""
+SELECT l.name AS split, CAST(l.k - 1 AS INTEGER) AS ord, count(r.secs) AS n_values, count(r.secs) > 0 AS has_data
+FROM legs l LEFT JOIN race_long r ON r.leg = l.k GROUP BY 1, 2""", "legs", "race_long"))
 
 oracle("athlete_holdout", tsql(_ids("""(SELECT pair_id, count(*) FILTER (WHERE NOT holdout) AS n_train,
        count(*) FILTER (WHERE holdout) AS n_test,
@@ -195,8 +198,7 @@ SELECT p.model_id, round(p.target_km / p.position_km, 4) AS factor, count(*) AS
 FROM itrained r JOIN ipairs p ON r.pair_id = p.pair_id GROUP BY p.model_id, p.target_km, p.position_km""",
                            "ipairs", "itrained"))
 
-_COLS = "SELECT * FROM (VALUES " + ", ".join(f"('{s}', {G.N_km(s)}::DOUBLE)" for s in SPLITS) + \
-        ") t(col, col_km)"
+_COLS = "SELECT name AS col, CAST(5 * k AS DOUBLE) AS col_km FROM legs"
 
 oracle("extrapolated_metrics", tsql(f"""
 SELECT p.req_key, p.alias || '_desde_' || e.position || '_ext' AS model_id, c.col AS source,
@@ -207,7 +209,7 @@ SELECT p.req_key, p.alias || '_desde_' || e.position || '_ext' AS model_id, c.co
        round(e.improvement, 4) AS improvement_estimated, e.approved, e.n AS n_samples
 FROM plan p JOIN ({_COLS}) c ON round(p.source_km, 3) = round(c.col_km, 3)
 JOIN ieval e ON e.target = c.col
-WHERE p.kind = 'interpolate'""", "plan", "ieval"))
+WHERE p.kind = 'interpolate'""", "plan", "ieval", "legs"))
 
 oracle("residual_quantiles", tsql(_ids("pquant", "p", "round(s.q10, 4) AS q10, round(s.q50, 4) AS q50, "
                                                       "round(s.q90, 4) AS q90"), "ppairs", "pquant"))
@@ -243,7 +245,7 @@ SELECT p.req_key, p.alias, e.model_id, p.source AS split_origen, p.kind AS tipo_
        round(abs(p.source_km - p.target_km), 4) AS diferencia_distancia, round(e.mae, 4) AS mae
 FROM plan p JOIN ({_COLS}) c ON round(p.source_km, 3) = round(c.col_km, 3)
 JOIN ieval e ON e.target = c.col
-WHERE p.kind <> 'impossible'""", "plan", "ieval"))
+WHERE p.kind <> 'impossible'""", "plan", "ieval", "legs"))
 
 oracle("gate_naive", tsql(_ids("igate", "i", "round(s.mae_naive, 4) AS mae_naive, round(s.mae, 4) AS mae, "
                                              "round(s.improvement, 4) AS improvement, s.pass_naive"),
@@ -315,12 +317,13 @@ LEFT JOIN pquant q ON p.pair_id = q.pair_id
 LEFT JOIN pcov v ON p.pair_id = v.pair_id
 LEFT JOIN pgate g ON p.pair_id = g.pair_id""", "ppairs", "ptrained", "pquant", "pcov", "pgate"))
 
+_GRID = "(SELECT CAST(count(*) AS INTEGER) FROM legs) AS n_splits, (SELECT CAST(count(*) * (count(*) - 1) // 2 AS INTEGER) FROM legs) AS expected_pairs"
 oracle("grid_totals", tsql(f"""
-SELECT 'interpolacion' AS kind, {len(SPLITS)} AS n_splits, {len(IPAIRS)} AS expected_pairs,
+SELECT 'interpolacion' AS kind, {_GRID},
        count(*) FILTER (WHERE trained) AS trained_pairs, count(*) FILTER (WHERE trained) * 1 AS models FROM icounts
 UNION ALL
-SELECT 'prediccion', {len(SPLITS)}, {len(PPAIRS)}, count(*) FILTER (WHERE trained),
-       count(*) FILTER (WHERE trained) * 3 FROM pcounts""", "icounts", "pcounts"))
+SELECT 'prediccion', {_GRID}, count(*) FILTER (WHERE trained),
+       count(*) FILTER (WHERE trained) * 3 FROM pcounts""", "icounts", "pcounts", "legs"))
 
 oracle("batch_summary", tsql("""
 SELECT r.req_key, r.nombre, len(r.splits) AS splits_originales, p.splits, p.splits_interpolados, p.splits_imposibles,

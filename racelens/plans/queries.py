@@ -152,7 +152,9 @@ def q_request_validate(spark, sf):
 @query("run_timestamp")
 def q_run_timestamp(spark, sf):
     c = Ctx(spark, sf)
-    return Q.run_timestamp(c.valid)
+    # no stamp among the requests: the clock is the time of the newest result
+    clock = spark.read.parquet(f"{sf}/orders.parquet").agg(F.max("o_orderdate").cast("timestamp").cast("string")).first()[0]
+    return Q.run_timestamp(c.valid, clock=clock)
 
 
 @query("run_names")
@@ -226,7 +228,7 @@ def q_history_adaptive(spark, sf):
 
 def _training_long(c: Ctx) -> DataFrame:
     n_req = c.valid.count()
-    return T.training_table(c.wide, c.selection, c.plan, c.valid, X.wide_split_names(), n_req)
+    return T.training_table(c.wide, c.selection, c.plan, c.valid, c.splits, n_req)
 
 
 @query("result_filter")
@@ -248,7 +250,7 @@ def q_training_projection(spark, sf):
                  c.selection.filter(F.col("req_key") == key).select("race_id", "event_id").collect()]
     cond = T.literal_pair_filter(sel_pairs)
     wide = c.wide.filter(cond) if cond is not None else c.wide.limit(0)
-    return T.training_projection(wide, plan_rows, X.wide_split_names())
+    return T.training_projection(wide, plan_rows, c.splits)
 
 
 @query("training_table")

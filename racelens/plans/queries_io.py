@@ -45,12 +45,18 @@ def q_catalog_scan(spark, sf):
                       F.array_join("splits", ",").alias("splits"))
 
 
+def _cells(df: DataFrame, ids: list[str], splits: list[str]) -> DataFrame:
+    """The cells of a wide table that are not null as rows (split, secs); a row without any keeps one of nulls."""
+    cells = F.array(*[F.struct(F.lit(s).alias("split"), F.col(s).alias("secs")) for s in splits])
+    full = F.filter(cells, lambda x: x["secs"].isNotNull())
+    return df.select(*ids, F.inline_outer(full))
+
+
 @query("wide_scan")
 def q_wide_scan(spark, sf):
     c = Ctx(spark, sf)
-    df = W.read_declared(spark, _partitioned(c), X.wide_split_names())
-    return df.select("finisher_id", "athlete_id", "race_id", "event_id", "event_std", "gender", "age",
-                     *X.wide_split_names())
+    df = W.read_declared(spark, _partitioned(c), c.splits)
+    return _cells(df, ["finisher_id", "athlete_id", "race_id", "event_id", "event_std", "gender", "age"], c.splits)
 
 
 @query("column_def_parse")
@@ -71,11 +77,8 @@ def q_partition_select(spark, sf):
     """Only the directories of chosen (race, event) pairs are read."""
     c = Ctx(spark, sf)
     chosen = c.selection.select("race_id", "event_id").distinct()
-    few = chosen.limit(T.LITERAL_PRUNE_MAX_PAIRS + 1).collect()      # bounded look at the chosen pairs
-    pairs = [(r["race_id"], r["event_id"]) for r in few] if len(few) <= T.LITERAL_PRUNE_MAX_PAIRS else None
-    df = W.read_declared(spark, _partitioned(c), X.wide_split_names(), pairs)
-    # the semi join keeps the result right when there are too many pairs for a literal filter
-    df = df.join(chosen, ["race_id", "event_id"], "left_semi")
+    pairs = [(r["race_id"], r["event_id"]) for r in chosen.collect()]   # catalog metadata
+    df = W.read_declared(spark, _partitioned(c), c.splits, pairs)
     return df.groupBy("race_id", "event_id").agg(F.count(F.lit(1)).alias("n_rows"),
                                                  F.count("km_5").alias("n_km_5"))
 
@@ -172,8 +175,8 @@ def q_manifest_rewrite(spark, sf):
 def q_recursive_load(spark, sf):
     c = Ctx(spark, sf)
     df = W.recursive_load(spark, _partitioned(c))
-    cols = [n for n in X.wide_split_names()] + [n + "_0" for n in X.wide_split_names()]
-    return df.select("finisher_id", "athlete_id", "event_std", "gender", "age", *cols)
+    cols = c.splits + [n + "_0" for n in c.splits]
+    return _cells(df, ["finisher_id", "athlete_id", "event_std", "gender", "age"], cols)
 
 
 def _eval_table(c: TCtx) -> DataFrame:

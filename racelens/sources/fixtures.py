@@ -5,7 +5,7 @@ One order is one finisher and each line item one leg (see FIXTURES.md):
 * ``finishers``  orders x customer: athlete, race, event and person attributes
 * ``race_legs``  per order: leg number and running seconds (window per order)
 * ``race_long``  legs x finishers: one row per (finisher, split)
-* ``race_wide``  one row per finisher, one double column per split (legs 1-8)
+* ``race_wide``  one row per finisher, one double column per split (as many as the longest order has legs)
 * ``race_catalog`` one row per (race, event) with its split-name list
 * ``raw_requests`` the request batch: literal edge cases plus one request per
   race edition found in the data, so the batch grows with the data
@@ -25,7 +25,6 @@ from racelens.functions import names as N
 
 # --- fixed values of the derived fixture (FIXTURES.md) ---------------------
 LEG_KM = 5.0            # each leg is 5 km
-WIDE_LEGS = 8           # race_wide keeps legs 1..8 -> km_5 .. km_40
 BASE_SECS = 1200        # leg seconds = 1200 + 10 * quantity
 SECS_PER_QTY = 10
 AGE_BASE, AGE_SPAN = 18, 60
@@ -113,7 +112,8 @@ def race_legs_ranged(spark: SparkSession, sf_dir: str, n_ranges: int | None = No
     w_secs = F.lit(BASE_SECS) + F.lit(SECS_PER_QTY) * F.col("l_quantity")
     ranged = (li.repartitionByRange(n, "l_orderkey", *LEG_ORDER)
               .withColumn("_piece", F.spark_partition_id())
-              .withColumn("_w", w_secs))
+              .withColumn("_w", w_secs)
+              .checkpoint())   # the range bounds are sampled: fix them once for all three readers
     local = Window.partitionBy("_piece", "l_orderkey").orderBy(*LEG_ORDER)
     run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pieces = ranged.select("l_orderkey", "_piece", F.row_number().over(local).alias("_r"),
@@ -142,28 +142,41 @@ def race_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("leg") * LEG_KM).alias("dist_km"), "secs"))
 
 
-def wide_split_names(n: int = WIDE_LEGS) -> list[str]:
+_leg_counts: dict[tuple[str, str], int] = {}
+
+
+def leg_count(spark: SparkSession, sf_dir: str) -> int:
+    """Legs of the longest order: one count per order with partial aggregation, once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _leg_counts:
+        per_order = _read(spark, sf_dir, "lineitem", ["l_orderkey"]).groupBy("l_orderkey").count()
+        _leg_counts[key] = per_order.agg(F.max("count")).first()[0] or 0
+    return _leg_counts[key]
+
+
+def wide_split_names(n: int) -> list[str]:
     return [f"km_{int(LEG_KM * k)}" for k in range(1, n + 1)]
 
 
 def race_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pivot legs 1..8 per order (same partitioning as the window), then attach
+    """Pivot all legs per order (same partitioning as the window), then attach
     the finisher attributes: one row per finisher, splits as double columns."""
-    legs = race_legs(spark, sf_dir).filter(F.col("leg") <= WIDE_LEGS)
+    names = wide_split_names(leg_count(spark, sf_dir))
+    legs = race_legs(spark, sf_dir)
     piv = legs.groupBy("l_orderkey").agg(*[
         F.max(F.when(F.col("leg") == k, F.col("secs"))).alias(name)
-        for k, name in enumerate(wide_split_names(), start=1)])
+        for k, name in enumerate(names, start=1)])
     fin = finishers(spark, sf_dir)
     return (piv.join(fin, piv.l_orderkey == fin.finisher_id)
             .select("finisher_id", "athlete_id", "race_id", "event_id", "event_std", "gender", "age",
-                    *wide_split_names()))
+                    *names))
 
 
-def catalog_split_names(year) -> F.Column:
-    """Split list of a catalog entry: km_5..km_40 in even years, the same
-    distances spelled km_5_0..km_40_0 in odd years, no 20 km entry in years
-    divisible by four."""
-    legs = F.filter(F.sequence(F.lit(1), F.lit(WIDE_LEGS)),
+def catalog_split_names(year, n: int) -> F.Column:
+    """Split list of a catalog entry: km_5, km_10, ... (n legs) in even years,
+    the same distances spelled km_5_0, km_10_0, ... in odd years, no 20 km
+    entry in years divisible by four."""
+    legs = F.filter(F.sequence(F.lit(1), F.lit(n)),
                     lambda k: ~((year % 4 == 0) & (k == LEAP_GAP_LEG)))
     return F.transform(legs, lambda k: F.concat(
         F.lit("km_"), (k * int(LEG_KM)).cast("string"),
@@ -176,7 +189,7 @@ def race_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = (finishers(spark, sf_dir).groupBy("race_id", "event_id")
            .agg(F.max("event_std").alias("event_std")))
     year = N.race_edition_year(F.col("race_id"))
-    return cat.select("race_id", "event_id", "event_std", catalog_split_names(year).alias("splits"))
+    return cat.select("race_id", "event_id", "event_std", catalog_split_names(year, leg_count(spark, sf_dir)).alias("splits"))
 
 
 def raw_requests(spark: SparkSession, sf_dir: str, catalog: DataFrame | None = None) -> DataFrame:

@@ -73,20 +73,25 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA + ", req_key string").json(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that its address names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def manifest_read_first(spark: SparkSession, candidates: list[str]) -> DataFrame:
     """The first readable manifest among candidate places (priority order).
 
     All candidates are read in one job; unreadable files are skipped; the
     winner is ``min_by(record, priority)``."""
-    import os
-    existing = [p for p in candidates if os.path.exists(p.replace("file:", ""))]
+    existing = [p for p in candidates if path_exists(spark, p)]
     if not existing:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     df = (spark.read.schema(MANIFEST_SCHEMA + ", _corrupt_record string")
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
           .json(existing).withColumn("_file", F.col("_metadata.file_path")))
     df = df.filter(F.col("_corrupt_record").isNull() & F.col("carrera").isNotNull())
-    prio = F.coalesce(*[F.when(F.col("_file").contains(p), F.lit(i)) for i, p in enumerate(existing)],
+    prio = F.coalesce(*[F.when(F.col("_file").contains(p.split(":", 1)[-1].rstrip("/") + "/"), F.lit(i)) for i, p in enumerate(existing)],
                       F.lit(len(existing)))
     best = df.select(F.struct(*[F.col(c) for c in MANIFEST_SCHEMA_COLS]).alias("m"), prio.alias("prio")) \
         .agg(F.min_by("m", "prio").alias("m"))
@@ -131,6 +136,12 @@ def latest_job_output(spark: SparkSession, folder: str, generated_at: str | None
     empty = spark.createDataFrame([], JOB_RECORD_DDL)
     if not generated_at:
         return empty
+    folder_name = f"{race}-{generated_at}"
+    default = spark.createDataFrame([(race, folder_name, f"{base}/modelos/{folder_name}/data/",
+                                      f"modelo_{race.replace('-', '_')}_{generated_at.replace('-', '_')}",
+                                      DEFAULT_SPLIT_COUNT, None, None, None, DEFAULT_RACES_USED)], JOB_RECORD_DDL)
+    if not path_exists(spark, folder):
+        return default
     df = (spark.read.schema(JOB_RECORD_DDL).option("recursiveFileLookup", "true").json(folder)
           .select("*", F.col("_metadata.file_path").alias("path"),
                   F.col("_metadata.file_modification_time").alias("mtime")))
@@ -138,11 +149,10 @@ def latest_job_output(spark: SparkSession, folder: str, generated_at: str | None
     run_dir = F.regexp_extract("path", r"(salida_step_[^/]+)", 1)
     best = df.agg(F.max_by(run_dir, F.struct(run_dir.contains(wanted), F.col("mtime"))).alias("d")).first()
     if best is None or best["d"] is None:
-        folder_name = f"{race}-{generated_at}"
-        return spark.createDataFrame([(race, folder_name, f"{base}/modelos/{folder_name}/data/",
-                                       f"modelo_{race.replace('-', '_')}_{generated_at.replace('-', '_')}",
-                                       DEFAULT_SPLIT_COUNT, None, None, None, DEFAULT_RACES_USED)], JOB_RECORD_DDL)
-    return df.filter(run_dir == best["d"]).drop("path", "mtime")
+        return default
+    found = df.filter(run_dir == best["d"]).drop("path", "mtime")
+    # another run's output stands in: its records get this run's folder, data path and table name
+    return found if wanted in best["d"] else rewrite_records(found, F.lit(generated_at), base)
 
 
 def rewrite_records(outputs: DataFrame, generated_at, base: str = "models") -> DataFrame:

@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelens.sources import fixtures as X
-
 STANDARD_COLUMNS = [("finisher_id", "bigint"), ("athlete_id", "string"), ("event_std", "string"),
                     ("gender", "string"), ("age", "int")]
 PARTITION_COLUMNS = [("race_id", "string"), ("event_id", "string")]
@@ -37,20 +35,17 @@ def write_partitioned(wide: DataFrame, path: str, odd_year_suffix: str = "_0") -
     """Write the wide table partitioned by race and event; odd years store
     their splits under the '_0' spelling (editions differ in naming).
 
-    Rows are range-partitioned and sorted by the partition keys, so every
-    task writes a contiguous run of directories with one open file at a time;
-    ranges (not hashing) keep a hot race spread over several tasks."""
-    splits = X.wide_split_names()
+    Rows are range-partitioned and sorted by race, event and finisher, so every
+    task writes a contiguous run of directories with one open file at a time,
+    and a hot (race, event) is cut by finisher into several ranges."""
+    splits = [c for c in wide.columns if c.startswith("km_")]
     year = F.element_at(F.split("race_id", "-"), -1).try_cast("int")
     even = wide.filter(year % 2 == 0)
     odd = wide.filter(year % 2 == 1).select(
         *[F.col(c).alias(c + odd_year_suffix) if c in splits else F.col(c) for c in wide.columns])
     n = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for part in (even, odd):
-        # range partitioning on the partition keys: each task holds a contiguous
-        # run of (race, event) values -> few files per directory, and a hot race
-        # is still spread over several tasks (ranges split it), unlike hashing
-        (part.repartitionByRange(n, "race_id", "event_id").sortWithinPartitions("race_id", "event_id")
+        (part.repartitionByRange(n, "race_id", "event_id", "finisher_id").sortWithinPartitions("race_id", "event_id")
          .write.mode("append")
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "snappy")
          .partitionBy("race_id", "event_id").parquet(path))
@@ -62,7 +57,7 @@ def read_declared(spark: SparkSession, path: str, split_columns: list[str],
     """S2 (+S4): read with a declared schema; optionally prune to chosen pairs."""
     schema = ddl(STANDARD_COLUMNS + [(s, "double") for s in split_columns] + PARTITION_COLUMNS)
     # only partition directories: a manifest or junk next to them is not data
-    df = (spark.read.schema(schema).option("basePath", path).option("ignoreCorruptFiles", "true")
+    df = (spark.read.schema(schema).option("basePath", path)
           .parquet(f"{path}/race_id=*"))
     if pairs:
         from racelens.operators.training_table import literal_pair_filter
