@@ -1,5 +1,6 @@
 """Quality gate on the analysed system's test vectors (exact numbers)."""
 
+# fixed values in this file: the input lists of the analysed system's gate tests
 import math
 
 from racelens.operators import evaluate as E
