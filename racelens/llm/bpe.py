@@ -42,8 +42,10 @@ CACHE = 500_000
 # --- fixed values: the pre-split pattern of byte-level BPE vocabularies
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # --- end of fixed values
+#: White space of that pattern (Python's own class has four control characters more).
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space with at most one blank before the next word; no piece of WORD crosses these bounds.
-CHUNK = re.compile(r" ?[^\s\x85\x1c-\x1f]+|[\s\x85\x1c-\x1f]+(?![^\s\x85\x1c-\x1f])|[\s\x85\x1c-\x1f]+")
+CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 def byte_letters() -> dict[str, int]:
