@@ -240,12 +240,11 @@ oracle("error_metrics", tsql(_ids("""(SELECT pair_id, count(*) AS n, avg(abs(y -
                                         "median_error", "q3_error", "p90_error", "p95_error", "p99_error", "mape",
                                         "median_rel_error", "p95_rel_error"])), "ipairs", "icv"))
 
-oracle("metric_provenance", tsql(f"""
-SELECT p.req_key, p.alias, e.model_id, p.source AS split_origen, p.kind AS tipo_origen,
-       round(abs(p.source_km - p.target_km), 4) AS diferencia_distancia, round(e.mae, 4) AS mae
-FROM plan p JOIN ({_COLS}) c ON round(p.source_km, 3) = round(c.col_km, 3)
-JOIN ieval e ON e.target = c.col
-WHERE p.kind <> 'impossible'""", "plan", "ieval", "legs"))
+oracle("metric_provenance", tsql("""
+SELECT p.req_key, e.model_id, e.target, p.source AS split_origen, p.kind AS tipo_origen,
+       CASE WHEN p.kind = 'interpolate' THEN round(abs(p.source_km - p.target_km), 4) END AS diferencia_distancia,
+       round(e.mae, 4) AS mae
+FROM ieval e LEFT JOIN plan p ON p.alias = e.target AND p.kind <> 'impossible'""", "plan", "ieval"))
 
 oracle("gate_naive", tsql(_ids("igate", "i", "round(s.mae_naive, 4) AS mae_naive, round(s.mae, 4) AS mae, "
                                              "round(s.improvement, 4) AS improvement, s.pass_naive"),

@@ -234,16 +234,15 @@ def q_error_metrics(spark, sf):
 
 @query("metric_provenance")
 def q_metric_provenance(spark, sf):
-    """Metrics of the wide-table model whose target is a plan source."""
+    """Every model's metric with the source that each request's plan gives its
+    target; the distance gap for interpolated ones. A target in no plan keeps its row."""
     c = TCtx(spark, sf)
-    cols = c.spark.createDataFrame([(s, G.N_km(s)) for s in c.interp.splits], "col string, col_km double")
-    plan = (c.plan.filter(F.col("kind") != "impossible")
-            .join(F.broadcast(cols), F.round("source_km", 3) == F.round("col_km", 3))
-            .select("req_key", "alias", "kind", "source", "col", "diff_km"))
+    plan = c.plan.filter(F.col("kind") != "impossible").select("req_key", "alias", "kind", "source", "diff_km")
     ev = _interp_eval(c).select("model_id", "target", "mae")
-    return (plan.join(ev, plan.col == ev.target)
-            .select("req_key", "alias", "model_id", F.col("source").alias("split_origen"),
-                    F.col("kind").alias("tipo_origen"), r4("diff_km").alias("diferencia_distancia"),
+    return (ev.join(plan, ev["target"] == plan["alias"], "left")
+            .select("req_key", "model_id", "target", F.col("source").alias("split_origen"),
+                    F.col("kind").alias("tipo_origen"),
+                    F.when(F.col("kind") == PLAN_INTERP, r4("diff_km")).alias("diferencia_distancia"),
                     r4("mae").alias("mae")))
 
 
