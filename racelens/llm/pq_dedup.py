@@ -2,20 +2,22 @@
 
 Coarse inverted lists hold the vectors, each with the codes of its residual in
 SUBSPACES subspaces. A vector meets the members of its own list and of every
-list whose border lies near it; asymmetric distances from lookup tables drop
-the members that are too far, and the cosine in double precision of what is
-left decides. Only vectors with equal labels that are not null meet.
-
-Probes are sufficient in this sense: a vector within distance r of another one
-can lie beyond the border to a list only if that border is nearer than r. For
-differences without a preferred direction the component across the border has
-the deviation r / sqrt(d); lists with borders nearer than three of these are
-probed, and a distance may exceed its expected error by four. The smaller list
-number probes the larger, so each pair is met once and links are symmetric.
-
-Equal vectors form one class and are counted, not paired. Lists are met in
-blocks of members by blocks of probing vectors; a block returns link counts
-and the edges of a spanning forest, never its pairs.
+list whose border lies within the link radius; asymmetric distances from
+lookup tables drop the members that are too far, and the cosine in double
+precision of what is left decides. Only vectors with equal labels that are not
+null meet.
+
+Both filters are triangle bounds, so no link is lost whatever the vectors look
+like: a vector within distance r of another one can lie beyond the border to a
+list only if that border is within r, and its distance to a coded member
+exceeds r by the member's quantisation error at most.
+
+Equal vectors form one class and are counted, not paired. Lists are put
+together to groups, and the groups of a label are cut into cells of about BLOCK
+vectors. A vector goes to the pairs of its own cell with those that hold a list
+within its reach; a pair of cells returns link counts and the edges of a
+spanning forest, never its pairs. Where the lists are not apart, as with
+vectors without clusters, most pairs of cells of a label are met.
 
 Vectors that are null, zero, hold null or non-finite components, have a null
 label or another length than most vectors link with nothing.
@@ -35,22 +37,25 @@ from racelens.llm.vectors import blocks, kmeans, matrix, nearest, packed, runs,
 
 MAX_LISTS = 1024
 SUBSPACES, CENTRES = 8, 64
-PROBE_SIGMAS, CODE_SIGMAS = 3.0, 4.0
-BLOCK = 1024
+BLOCK = 8192
+STEP = 1024  # queries that meet a list at once
+SLACK = 1e-6  # of distances, for rounding
 
 
 class Index:
     """Centroids of the lists and of the residuals' subspaces, fitted on a bounded sample."""
 
-    def __init__(self, vectors: np.ndarray, lists: int, threshold: float):
+    def __init__(self, vectors: np.ndarray, lists: int, threshold: float, groups: int = 1):
         units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         self.threshold = threshold
         self.radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
         self.lists = kmeans(units, lists)
-        rest = units - self.lists[nearest(units, self.lists)]
+        own = nearest(units, self.lists)
+        rest = units - self.lists[own]
+        before = np.cumsum(np.bincount(own, minlength=len(self.lists)))
+        self.group = np.concatenate([[0], before[:-1]]) * groups // len(units)
         self.cuts = np.array_split(np.arange(units.shape[1]), min(SUBSPACES, units.shape[1]))
         self.codebooks = [kmeans(rest[:, c], CENTRES) for c in self.cuts]
-        self.sigma = self.radius / np.sqrt(units.shape[1])
 
     def encode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """List, codes and quantisation error of every row."""
@@ -60,14 +65,13 @@ class Index:
         kept = np.concatenate([b[codes[:, s]] for s, b in enumerate(self.codebooks)], axis=1)
         return own, codes, np.linalg.norm(rest - kept, axis=1)
 
-    def probes(self, units: np.ndarray, own: np.ndarray) -> list[np.ndarray]:
-        """For every row, the lists of larger number whose border is near enough."""
-        d = (self.lists**2).sum(axis=1) - 2 * units @ self.lists.T
-        gap = np.sqrt(np.maximum(1e-18, (self.lists**2).sum(1)[None] + (self.lists[own] ** 2).sum(1)[:, None] - 2 * self.lists[own] @ self.lists.T))
-        border = (d - d[np.arange(len(units)), own][:, None]) / (2 * gap)
-        near = border <= PROBE_SIGMAS * self.sigma
-        near &= np.arange(len(self.lists))[None] > own[:, None]
-        return [np.flatnonzero(r) for r in near]
+    def reach(self, units: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Per row and list, whether the border to the list is within the radius; true for the row's own list."""
+        size = (self.lists**2).sum(axis=1)
+        d = size - 2 * units @ self.lists.T
+        gap = size[None] + size[own][:, None] - 2 * self.lists[own] @ self.lists.T
+        # lists with the same centre have no border
+        return (gap < 1e-12) | (d - d[np.arange(len(units)), own][:, None] <= 2 * np.sqrt(np.maximum(gap, 0)) * (self.radius + SLACK))
 
     def distances(self, units: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Squared asymmetric distances of rows to the coded members of one list, from lookup tables."""
@@ -78,52 +82,62 @@ class Index:
             total = total + table[:, codes[:, s]]
         return total
 
-    def links(self, which: int, queries: tuple, members: tuple) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, member) of positions with cosine at or over the threshold."""
+    def links(self, which: int, queries: tuple, members: tuple, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, member) of positions with cosine at or over the threshold; `same`: each pair of a list once."""
         (qi, qx, ql), (mi, mx, codes, err) = queries, members
-        qu = qx / np.linalg.norm(qx, axis=1, keepdims=True)
-        limit = self.radius**2 + err**2 + 2 * self.sigma * CODE_SIGMAS * err + 1e-9
-        maybe = self.distances(qu, which, codes) <= limit[None]
-        maybe &= (ql != which)[:, None] | (qi[:, None] < mi[None])
-        a, b = np.nonzero(maybe)
         mn, qn = np.linalg.norm(mx, axis=1), np.linalg.norm(qx, axis=1)
+        maybe = self.distances(qx / qn[:, None], which, codes) <= ((self.radius + err + SLACK) ** 2)[None]
+        if same:
+            maybe &= (ql != which)[:, None] | (qi[:, None] < mi[None])
+        a, b = np.nonzero(maybe)
         cos = np.concatenate([np.einsum("ij,ij->i", qx[a[s : s + 65536]], mx[b[s : s + 65536]]) for s in range(0, len(a), 65536)] or [np.empty(0)]) / (qn[a] * mn[b])
         return a[cos >= self.threshold], b[cos >= self.threshold]
 
+    def meet(self, queries: tuple, members: tuple, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of positions of two cells, or with `same` of one with itself, list by list."""
+        (qi, qx, ql), (mi, mx, ml, codes, err) = queries, members
+        lists = [(which, np.flatnonzero(ml == which)) for which in np.unique(ml)]
+        for s in range(0, len(qi), STEP):
+            x, own = qx[s : s + STEP], ql[s : s + STEP]
+            near = self.reach(x / np.linalg.norm(x, axis=1, keepdims=True), own)
+            for which, m in lists:
+                q = np.flatnonzero(near[:, which] & ((own <= which) | (not same)))
+                if len(q):
+                    a, b = self.links(which, (qi[s + q], x[q], own[q]), (mi[m], mx[m], codes[m], err[m]), same)
+                    if len(a):
+                        yield s + q[a], m[b]
+
 
-ROW = "label string, list int, mb int, ob int, own int, id long, mult long, vec binary, codes binary, err double"
+PLACED = "label string, grp int, reach array<int>, own int, id long, mult long, vec binary, codes binary, err double"
 
 
 def _place(index: Index, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.diff(index.group, prepend=-1))
         for b in batches:
             if not b.num_rows:
                 continue
             x = matrix(b.column(3))
             units = x / np.linalg.norm(x, axis=1, keepdims=True)
             own, codes, err = index.encode(units)
-            rows = []
-            for i, (label, cid, mult, more) in enumerate(zip(b.column(1).to_pylist(), b.column(0).to_pylist(), b.column(2).to_pylist(), index.probes(units, own), strict=True)):
-                vec = x[i].astype(dtype).tobytes()
-                rows.append((label, int(own[i]), True, int(own[i]), cid, mult, vec, codes[i].tobytes(), float(err[i])))
-                rows += [(label, int(j), False, int(own[i]), cid, mult, vec, None, None) for j in (own[i], *more)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.float64()), strict=True)], names=["label", "list", "member", "own", "id", "mult", "vec", "codes", "err"])
+            groups = [index.group[starts[r]].tolist() for r in np.logical_or.reduceat(index.reach(units, own), starts, axis=1)]
+            vec = [v.tobytes() for v in x.astype(dtype)]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(index.group[own], pa.int32()), pa.array(groups, pa.list_(pa.int32())), pa.array(own, pa.int32()), b.column(0), b.column(2), pa.array(vec, pa.binary()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(err)], names=["label", "grp", "reach", "own", "id", "mult", "vec", "codes", "err"])
 
     return run
 
 
 def _meet(index: Index, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs(batches, 4):
-            members, queries = ([r for r in rows if (r[8] is not None) == side] for side in (True, False))
+        for rows in runs(batches, 5):
+            same = rows[0][1:3] == rows[0][3:5]
+            members = rows if same else [r for r in rows if not r[5]]
+            queries = rows if same else [r for r in rows if r[5]]
             if not members or not queries:
                 continue
-            vec = lambda rs: np.frombuffer(b"".join(r[7] for r in rs), dtype).astype(np.float64).reshape(len(rs), -1)
-            qi, mi = (np.array([r[5] for r in rs]) for rs in (queries, members))
-            codes = np.frombuffer(b"".join(r[8] for r in members), np.uint8).reshape(len(members), -1)
-            a, b = index.links(rows[0][1], (qi, vec(queries), np.array([r[4] for r in queries])), (mi, vec(members), codes, np.array([r[9] for r in members])))
-            if not len(a):
-                continue
+            vec = lambda rs: np.frombuffer(b"".join(r[9] for r in rs), dtype).astype(np.float64).reshape(len(rs), -1)
+            (qi, ql), (mi, ml) = (tuple(np.array([r[c] for r in rs]) for c in (7, 6)) for rs in (queries, members))
+            codes = np.frombuffer(b"".join(r[10] for r in members), np.uint8).reshape(len(members), -1)
             counts: dict[int, int] = {}
             root: dict[int, int] = {}
             edges = []
@@ -133,14 +147,17 @@ def _meet(index: Index, dtype: str):
                     root[p] = p = root[root[p]]
                 return p
 
-            for i, j in zip(a.tolist(), b.tolist(), strict=True):
-                q, m = queries[i], members[j]
-                counts[q[5]] = counts.get(q[5], 0) + m[6]
-                counts[m[5]] = counts.get(m[5], 0) + q[6]
-                x, y = find(q[5]), find(m[5])
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    edges.append((q[5], m[5]))
+            for a, b in index.meet((qi, vec(queries), ql), (mi, vec(members), ml, codes, np.array([r[11] for r in members])), same):
+                for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                    q, m = queries[i], members[j]
+                    counts[q[7]] = counts.get(q[7], 0) + m[8]
+                    counts[m[7]] = counts.get(m[7], 0) + q[8]
+                    x, y = find(q[7]), find(m[7])
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        edges.append((q[7], m[7]))
+            if not counts:
+                continue
             out = [(i, None, n) for i, n in counts.items()] + [(x, y, None) for x, y in edges]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "n"])
 
@@ -156,17 +173,18 @@ def embedding_near_duplicates(spark: SparkSession, vectors: DataFrame, threshold
     classes = shared(spark, classes.select("id", "label", "mult", "vec"), "pq-classes")
     n = classes.count()
     if n:
-        index = Index(sample(classes, "id", "vec"), min(MAX_LISTS, int(np.ceil(np.sqrt(n)))), threshold)
-        rows = classes.mapInArrow(_place(index, dtype), "label string, list int, member boolean, own int, id long, mult long, vec binary, codes binary, err double")
-        rows = shared(spark, rows, "pq-lists")
-        sizes = rows.groupBy("label", "list").agg(F.count_if("member").alias("m"), F.count_if(~F.col("member")).alias("o")).where("m > 0 and o > 0")
-        rows = rows.join(sizes, ["label", "list"])
-        spot = lambda c: F.array(F.pmod(F.xxhash64("id"), blocks(c, BLOCK)).cast("int"))
-        every = lambda c: F.sequence(F.lit(0), blocks(c, BLOCK) - 1)
-        rows = rows.withColumn("mb", F.explode(F.when(F.col("member"), spot("m")).otherwise(every("m"))))
-        rows = rows.withColumn("ob", F.explode(F.when(F.col("member"), every("o")).otherwise(spot("o"))))
-        keys = ["label", "list", "mb", "ob"]
-        rows = rows.select(*keys, "own", "id", "mult", "vec", "codes", "err").repartition(*keys).sortWithinPartitions(*keys)
+        largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+        index = Index(sample(classes, "id", "vec"), min(MAX_LISTS, int(np.ceil(np.sqrt(n)))), threshold, -(-largest // BLOCK))
+        rows = shared(spark, classes.mapInArrow(_place(index, dtype), PLACED), "pq-lists")
+        sizes = rows.groupBy("label", "grp").agg(blocks(F.count("*"), BLOCK).alias("cuts"))
+        rows = rows.join(sizes, ["label", "grp"]).withColumn("cut", F.pmod(F.xxhash64("id"), "cuts").cast("int")).drop("cuts")
+        rows = rows.withColumn("other", F.explode("reach")).join(sizes.withColumnRenamed("grp", "other"), ["label", "other"])
+        rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+        mine, theirs = F.struct(F.col("grp").alias("g"), F.col("cut").alias("c")), F.struct(F.col("other").alias("g"), F.col("part").alias("c"))
+        rows = rows.select("label", F.least(mine, theirs).alias("lo"), F.greatest(mine, theirs).alias("hi"), (mine <= theirs).alias("query"), "own", "id", "mult", "vec", "codes", "err")
+        rows = rows.select("label", F.col("lo.g").alias("g1"), F.col("lo.c").alias("c1"), F.col("hi.g").alias("g2"), F.col("hi.c").alias("c2"), *rows.columns[3:])
+        keys = rows.columns[:5]
+        rows = rows.repartition(*keys).sortWithinPartitions(*keys)
         found = shared(spark, rows.mapInArrow(_meet(index, dtype), "a long, b long, n long"), "pq-links")
     else:
         found = spark.createDataFrame([], "a long, b long, n long")

@@ -91,3 +91,20 @@ def test_few_and_no_rows(spark, table):
     for fn in (I.nearest_neighbours, P.embedding_near_duplicates):
         assert fn(spark, table.limit(0)).count() == 0
         assert fn(spark, table.where("vec_id = 1000")).count() in (0, 1)
+
+
+def test_links_in_a_low_dimensional_subspace(spark, monkeypatch):
+    """Vectors near six main directions: every link is found, in one cell and over many."""
+    r = np.random.default_rng(11)
+    x = r.normal(size=(1500, 6)) @ r.normal(size=(6, 64)) + r.normal(size=(1500, 64)) * 0.1
+    df = spark.createDataFrame([(i, v.tolist(), 1 + (i % 10 == 0)) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    u, label = x / np.linalg.norm(x, axis=1, keepdims=True), np.arange(1500) % 10 == 0
+    link = (u @ u.T >= 0.93) & (label[:, None] == label[None]) & ~np.eye(1500, dtype=bool)
+    comp = np.arange(1500)
+    for _ in range(100):
+        comp = np.minimum(comp, np.where(link, comp[None], 1500).min(axis=1))
+    assert link.sum() > 1000
+    for block in (P.BLOCK, 100):
+        monkeypatch.setattr(P, "BLOCK", block)
+        got = {v.vec_id: (v.n_links, v.component_id) for v in P.embedding_near_duplicates(spark, df).collect()}
+        assert got == {i: (int(link[i].sum()), int(comp[i])) for i in range(1500)}
