@@ -12,11 +12,14 @@ of a host are merged in groups and then once more, so no task sees all pages
 of a host.
 
 The slots of a wrapper get a role from their place in it. Content are the
-slots inside article or main, or where a host has neither, all slots; not
+texts inside article or main, or where the page has neither, all texts; not
 those in navigation, headers, footers, sidebars, notices, adverts, forms or
-comments, by tag or by the words of class, id and role; nor, outside article
-and main, texts that never change over at least MIN_PAGES pages. Extraction
-aligns each page with the wrapper of its host and joins its content slots.
+comments, by tag or by the words of class, id and role; nor, on pages without
+article and main, texts that never change over at least MIN_PAGES different
+pages that have them, unless nothing else would be left. Marks on html, body,
+main and on what is around article and main say something about the page, not
+about its text, and count for nothing. Extraction aligns each page with the
+wrapper of its host and joins its content.
 
 White space inside a block, a line break tag included, becomes one blank. A
 null or empty page has an empty text. A null url is a host of its own.
@@ -51,6 +54,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 ASIDE = frozenset("head nav header footer aside form button select menu dialog title".split())
 MAIN = frozenset("article main".split())
+WHOLE = frozenset("html body main".split())
 # --- end of fixed values
 
 #: Words of class, id and role that mark what is not the article.
@@ -101,22 +105,25 @@ def stream(page: str) -> list[tuple[str, str | None]]:
             if name not in SELF_CLOSING and name not in VOID:
                 out.append((f"/{name}", None))
         elif name not in VOID:
-            out.append((name + "!" * (m[4] != "" and _marked(m[4])), None))
+            out.append((name + "!" * (m[4] != "" and name not in WHOLE and _marked(m[4])), None))
     text.append(page[at:])
     flush()
     # a self-closing tag without a text behind it holds nothing
     return [t for n, t in enumerate(out) if t[0] not in SELF_CLOSING or (n + 1 < len(out) and out[n + 1][0] == "#")]
 
 
-# A node is [signature, group, text, inner]: group numbers optional groups (0: always there);
+# A node is [signature, group, text, inner, pages]: group numbers optional groups (0: always there);
 # text is None (no text), a hash (equal so far; of a group: of its whole run) or "*" (a slot);
-# inner are the nodes of a repeated group.
+# inner are the nodes of a repeated group; pages are hashes of different pages that have the node, MIN_PAGES at most.
 Node = list
 
 
 def fold(tokens: list[tuple[str, str | None]]) -> list[Node]:
     """Nodes of a stream, adjacent equal groups folded, shorter groups first."""
     nodes: list[Node] = [[t, 0, None if x is None else xxhash.xxh3_64_hexdigest(" ".join(x.split()).encode("utf-8", "surrogatepass")), None] for t, x in tokens]
+    page = [xxhash.xxh3_64_hexdigest("|".join(f"{x[0]} {x[2] or ''}" for x in nodes))]
+    for x in nodes:
+        x.append(page)
     for size in range(1, LONGEST_UNIT + 1):
         out: list[Node] = []
         n = 0
@@ -130,7 +137,7 @@ def fold(tokens: list[tuple[str, str | None]]) -> list[Node]:
                 inner = nodes[n : n + size]
                 for k in range(1, times):
                     inner = [_both(a, b) for a, b in zip(inner, nodes[n + k * size : n + (k + 1) * size], strict=True)]
-                out.append([f"({' '.join(unit)})+", 0, _run_hash(nodes[n : n + times * size]), inner])
+                out.append([f"({' '.join(unit)})+", 0, _run_hash(nodes[n : n + times * size]), inner, page])
                 n += times * size
             else:
                 out.append(nodes[n])
@@ -147,7 +154,11 @@ def _run_hash(nodes: list[Node]) -> str:
 def _both(a: Node, b: Node) -> Node:
     text = a[2] if a[2] == b[2] else "*"
     inner = [_both(x, y) for x, y in zip(a[3], b[3], strict=True)] if a[3] else None
-    return [a[0], a[1] or b[1], text, inner]
+    return [a[0], a[1] or b[1], text, inner, _pages(a[4], b[4])]
+
+
+def _pages(a: list[str], b: list[str]) -> list[str]:
+    return a if len(a) >= MIN_PAGES or a is b else [*a, *(x for x in b if x not in a)][:MIN_PAGES]
 
 
 def _repeat_single(nodes: list[Node], other: list[Node]) -> list[Node]:
@@ -157,7 +168,7 @@ def _repeat_single(nodes: list[Node], other: list[Node]) -> list[Node]:
         sigs, size, out, n = [i[0] for i in inner], len(inner), [], 0
         while n < len(nodes):
             if [x[0] for x in nodes[n : n + size]] == sigs:
-                out.append([unit, max(x[1] for x in nodes[n : n + size]), _run_hash(nodes[n : n + size]), nodes[n : n + size]])
+                out.append([unit, max(x[1] for x in nodes[n : n + size]), _run_hash(nodes[n : n + size]), nodes[n : n + size], nodes[n][4]])
                 n += size
             else:
                 out.append(nodes[n])
@@ -178,14 +189,14 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
         for side in (a[i:j], b[k:m]):
             if side:
                 group += 1
-                out += [[x[0], x[1] or group, x[2], x[3]] for x in side]
+                out += [[x[0], x[1] or group, *x[2:]] for x in side]
     return out
 
 
 def expression(nodes: list[Node]) -> str:
     """The wrapper as a regular expression without unions; '#text' is a slot, a quoted hash a fixed text."""
     parts, open_group = [], 0
-    for sig, group, text, inner in nodes:
+    for sig, group, text, inner, _ in nodes:
         if group != open_group:
             parts += [")?"] * bool(open_group) + ["("] * bool(group)
             open_group = group
@@ -194,17 +205,14 @@ def expression(nodes: list[Node]) -> str:
 
 
 class Roles:
-    """For every text of a wrapper, whether it is content."""
+    """For every text of a page, whether it is content by the wrapper."""
 
-    def __init__(self, nodes: list[Node], pages: int):
+    def __init__(self, nodes: list[Node]):
         self.nodes = nodes
-        flat = [t for n in nodes for t in _leaves(n)]
-        self.bounded = any(t[0].rstrip("!") in MAIN for t in flat)
-        self.settled = pages >= MIN_PAGES
-        self.known: dict[tuple, list[bool]] = {}
+        self.known: dict[tuple, tuple[list[bool], list[bool]]] = {}
 
-    def content(self, tokens: list[tuple[str, str | None]]) -> list[bool]:
-        """Per text of a page, whether its slot of the wrapper is content."""
+    def content(self, tokens: list[tuple[str, str | None]]) -> tuple[list[bool], list[bool]]:
+        """Per text of a page, whether its slot of the wrapper is content, and whether it is where the page has no other."""
         key = tuple(t for t, _ in tokens)
         if key not in self.known:
             if len(self.known) > 2000:
@@ -212,16 +220,20 @@ class Roles:
             self.known[key] = self._place(tokens)
         return self.known[key]
 
-    def _place(self, tokens: list[tuple[str, str | None]]) -> list[bool]:
+    def _place(self, tokens: list[tuple[str, str | None]]) -> tuple[list[bool], list[bool]]:
         fixed = self._fixed(tokens)
         stack: list[str] = []
-        out = []
+        found: list[tuple[bool, bool, bool]] = []  # inside, off, fixed
+        bounded = False
+
+        def off() -> bool:
+            inner = next((n for n, t in enumerate(stack) if t.rstrip("!") in MAIN), 0)
+            return any(t.endswith("!") for t in stack[inner:]) or any(t in ASIDE for t in stack)
+
         for (tag, text), same in zip(tokens, fixed, strict=True):
             name = tag.rstrip("!")
             if text is not None:
-                inside = any(t in MAIN for t in stack)
-                off = any(t.endswith("!") or t in ASIDE for t in stack)
-                out.append(not off and (inside or not (self.bounded or (same and self.settled))))
+                found.append((any(t.rstrip("!") in MAIN for t in stack), off(), same))
             elif tag.startswith("/"):
                 plain = [t.rstrip("!") for t in stack]
                 if tag[1:] in plain:
@@ -235,17 +247,22 @@ class Roles:
                 if stack and stack[-1].rstrip("!") in SELF_CLOSING:
                     stack.pop()
                 stack.append(tag)
-        return out
+                bounded = bounded or (name in MAIN and not off())
+        if bounded:
+            kept = [inside and not gone for inside, gone, _ in found]
+            return kept, kept
+        return [not gone and not same for _, gone, same in found], [not gone for _, gone, _ in found]
 
     def _fixed(self, tokens: list[tuple[str, str | None]]) -> list[bool]:
-        """Per token, whether the wrapper says that its text is the same on all pages."""
+        """Per token, whether the wrapper says that its text is the same on all of at least MIN_PAGES pages."""
         mine, theirs = _repeat_single(fold(tokens), self.nodes), self.nodes
         same: list[bool] = []
         match = dict((i + n, j + n) for i, j, size in difflib.SequenceMatcher(None, [x[0] for x in mine], [x[0] for x in theirs], autojunk=False).get_matching_blocks() for n in range(size))
         at = 0
         for n, node in enumerate(mine):
             leaves = list(_leaves(node))
-            fixed = n in match and theirs[match[n]][2] not in (None, "*")
+            there = theirs[match[n]] if n in match else None
+            fixed = there is not None and there[2] not in (None, "*") and len(there[4]) >= MIN_PAGES
             sigs = [x[0] for x in leaves]
             while [t for t, _ in tokens[at : at + len(sigs)]] == sigs:
                 same += [fixed] * len(sigs)
@@ -322,21 +339,25 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roles: dict[str, Roles] = {}
     for b in batches:
         texts = []
-        for page, wrapper, n in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+        for page, wrapper in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
             if wrapper not in roles:
                 if len(roles) > 1000:
                     roles.clear()
-                roles[wrapper] = Roles(json.loads(wrapper), n)
+                roles[wrapper] = Roles(json.loads(wrapper))
             tokens = stream(page or "")
-            found = [clean(t) for t in (t for t, keep in zip((x for _, x in tokens if x is not None), roles[wrapper].content(tokens), strict=True) if keep)]
-            texts.append("\n\n".join(t for t in found if t))
+            own = [x for _, x in tokens if x is not None]
+            for keep in roles[wrapper].content(tokens):
+                found = [c for t, k in zip(own, keep, strict=True) if k and (c := clean(t))]
+                if found:
+                    break
+            texts.append("\n\n".join(found))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def main_text(spark: SparkSession, pages: DataFrame, wrappers: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    rows = rows.join(wrappers, "host").select("page_id", "url", "html", "wrapper", "pages")
+    rows = rows.join(wrappers, "host").select("page_id", "url", "html", "wrapper")
     return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 

@@ -46,3 +46,22 @@ def test_alignment_finds_optional_and_repeated_groups():
     a, b, c = (W.fold(W.stream(x)) for x in ("<ul><li>x<li>y</ul><p>one", "<ul><li>z</ul><div>note</div><p>two", "<ul><li>z</ul><p>two"))
     w = W.align(W.align(a, b), c)
     assert W.expression(w) == "<ul> (<li> #text)+ </ul> ( <div> " + f"'{b[5][2]}'" + " </div> )? <p> #text"
+
+
+def test_no_article_is_lost_by_its_host_or_its_frame(spark):
+    body = "<p>First part of the one article<p>Second part of it"
+    mixed = [(f"http://mixed.example/{n}", f"<article><p>Bounded {n}</article>" if n % 2 else f"<div class=post><p>Free {n}</div><div>Made with love</div>") for n in range(12)]
+    mixed += [("http://mixed.example/x", "<div class=story><h3>Alone</h3><p>of its layout</div>")]
+    copies = [(f"http://copies.example/{n}", f"<div>{body}</div>") for n in range(9)]
+    same = [(f"http://same.example/{n}", f"<!-- {n} --><nav>Menu {n}</nav><div>{body}</div>") for n in range(9)]
+    frames = [("http://frames.example/1", f"<body class='no-sidebar'><div class='has-sidebar'><main class='with-menu'>{body}<div class=comments>Reader</div></main><div class=sidebar>Side</div></div>"),
+              ("http://frames.example/2", f"<body class='no-sidebar'><div>{body}</div><div class=sidebar>Side</div>"),
+              ("http://frames.example/3", f"<div class='post'>{body}</div><div class='comments'><article class='comment'>Reader</article></div><aside><article>Side</article></aside>")]
+    rows = mixed + copies + same + frames
+    d = spark.createDataFrame([(n, u, h) for n, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    article = "First part of the one article\n\nSecond part of it"
+    want = [f"Bounded {n}" if n % 2 else f"Free {n}" for n in range(12)] + ["Alone\n\nof its layout"] + [article] * 21
+    for parts in (1, 6):
+        e = d.repartition(parts, "page_id")
+        got = {r.page_id: r.text for r in W.main_text(spark, e, W.infer_wrappers(spark, e)).collect()}
+        assert [got[n] for n in range(len(rows))] == want
