@@ -6,8 +6,12 @@ difference of its compressed lengths behind the ordinary dictionary and behind
 both is its gain, positive where the toxic one explains it better. A window
 holds its word several times: both sides then take the compressed form, and
 the gain is what the first occurrence costs. Training is done in two rounds: the first toxic dictionary sees all
-windows of toxic texts; windows with a gain that are found in toxic texts far
-more often than in ordinary ones train the second.
+windows of toxic texts; windows that are found in toxic texts far more often
+than in ordinary ones (LIFT) train the second. The test beside it, that the
+first round gives no negative gain, leaves out next to none, so in effect the
+classifier is a list of words picked by label lift, and the compressed length
+says whether a word is in it. README has the figures of separate dictionaries
+on windows of several words, which do not tell the labels apart here.
 
 The score of a text comes from the number of its distinct windows whose gain
 reaches a threshold, against the number of all, by a logistic curve. Threshold and curve
