@@ -13,8 +13,10 @@ boosted-tree path (``boosted_cv``) runs Spark ML per pair.
 
 from __future__ import annotations
 
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,6 +180,19 @@ def boosted_fit_predict(run: InterpolationRun, pair_id: int, params: dict | None
     return M.batch_predict(model, data).select(F.lit(pair_id).alias("pair_id"), "finisher_id", "y", "pred")
 
 
+def boosted_fit_predict_all(run: InterpolationRun, params: dict | None = None, parallel: int = 4) -> DataFrame:
+    """``boosted_fit_predict`` of every pair with at least ``min_samples`` rows.
+    Predictions go to the shared checkpoint folder as each pair is fitted, so
+    at most ``parallel`` models are held at once."""
+    ids = sorted(r.pair_id for r in run.counts.filter("trained").select("pair_id").collect())  # a row per pair
+    fitted = inheritable_thread_target(run.spark)(lambda i: boosted_fit_predict(run, i, params).checkpoint())
+    with ThreadPoolExecutor(parallel) as pool:
+        outs = list(pool.map(fitted, ids))
+    if not outs:
+        return run.wide.limit(0).select(F.lit(0).alias("pair_id"), "finisher_id", F.lit(0.0).alias("y"), F.lit(0.0).alias("pred"))
+    return reduce(DataFrame.unionByName, outs)
+
+
 def boosted_cv(run: InterpolationRun, pair_id: int, params: dict | None = None) -> DataFrame:
     """M2 + M3 with boosted trees for one pair: K fits on the other folds,
     out-of-fold predictions pooled. Features follow the pair's feature set."""
