@@ -8,8 +8,11 @@ Only the number of pieces of each length reaches the driver (at most
 length left, lists the undominated fillings of the room beside it, closes as
 many equal bins at once as the counts allow, and goes on; branches whose waste
 proves that they cannot beat the incumbent are pruned. The first incumbent is
-best-fit decreasing on the same counts, and the search ends when the incumbent
-meets the volume bound or after NODES nodes.
+best-fit decreasing on the same counts. The first pass tries FILLINGS likely
+fillings a node, each in as many bins as it can; the second one, with the nodes
+left, every filling that no other piece fits into, in any number of bins. The
+search ends when the incumbent meets the lower bound, when nothing is left to
+try, which proves it, or after NODES nodes.
 
 The plan is a list of patterns (lengths in one sequence, how many sequences).
 Every piece finds its place by its rank among the pieces of its length: a rank
@@ -120,6 +123,27 @@ def fillings(room: int, lengths: list[int], counts: dict[int, int], limit: int =
     return out or [[]]
 
 
+def every_filling(room: int, lengths: list[int], counts: dict[int, int]) -> Iterator[list[int] | None]:
+    """All fillings that no piece left fits into, one by one, larger pieces first; None for a dead end on the way."""
+    volume = [0]
+    for x in reversed(lengths):
+        volume.append(volume[-1] + x * counts[x])
+    volume.reverse()  # of the lengths from n on
+    asc = [-x for x in lengths]
+    stack: list[tuple[int, int, int, tuple[int, ...]]] = [(0, room, room + 1, ())]
+    while stack:
+        n, room, skipped, taken = stack.pop()
+        n = max(n, bisect.bisect_left(asc, -room))
+        if room - volume[n] >= skipped:
+            yield None
+        elif n == len(lengths):
+            yield list(taken)
+        else:
+            x = lengths[n]
+            most = min(counts[x], room // x)
+            stack += [(n + 1, room - t * x, skipped if t == counts[x] else x, taken + (x,) * t) for t in range(most + 1)]
+
+
 def bound(counts: dict[int, int], capacity: int) -> int:
     """Sequences that are needed at least.
 
@@ -145,38 +169,46 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int =
     least, best = bound(counts, capacity), sum(n for _, n in incumbent)
     volume = sum(x * n for x, n in counts.items())
 
-    def branch(left: dict[int, int]) -> Iterator[tuple[tuple, int, dict[int, int]]]:
+    def branch(left: dict[int, int], every: bool) -> Iterator[tuple[tuple, int, dict[int, int]] | None]:
         big = max(left)
         rest = dict(left)
         rest[big] -= 1
         lengths = sorted((x for x, n in rest.items() if n), reverse=True)
-        for f in fillings(capacity - big, lengths, rest):
+        for f in (every_filling if every else fillings)(capacity - big, lengths, rest):
+            if f is None:
+                yield None
+                continue
             pattern = tuple(sorted(((x, [big, *f].count(x)) for x in {big, *f}), reverse=True))
-            times = min(left[x] // t for x, t in pattern)
-            after = {x: n for x in left if (n := left[x] - times * dict(pattern).get(x, 0))}
-            yield pattern, times, after
-
-    stack = [(counts, branch(counts), 0, 0)] if counts else []  # counts left, its branches, sequences, waste
-    taken: list[Pattern] = []
-    while stack and best > least and nodes > 0:
-        left, options, used, waste = stack[-1]
-        option = next(options, None)
-        if option is None:
-            stack.pop()
-            if taken:
-                taken.pop()
-            continue
-        nodes -= 1
-        pattern, times, after = option
-        used, waste = used + times, waste + times * (capacity - sum(x * t for x, t in pattern))
-        # all sequences but the last: capacity x best - 1 - volume may be wasted at most to beat the incumbent
-        if used + (bound(after, capacity) if after else 0) >= best or waste > capacity * (best - 1) - volume:
-            continue
-        if not after:
-            incumbent, best = [*taken, (pattern, times)], used
-            continue
-        taken.append((pattern, times))
-        stack.append((after, branch(after), used, waste))
+            most = min(left[x] // t for x, t in pattern)
+            for times in range(most, 0 if every else most - 1, -1):
+                after = {x: n for x in left if (n := left[x] - times * dict(pattern).get(x, 0))}
+                yield pattern, times, after
+
+    for every in (False, True):
+        stack = [(counts, branch(counts, every), 0, 0)] if counts else []  # counts left, its branches, sequences, waste
+        taken: list[Pattern] = []
+        while stack and best > least and nodes > 0:
+            left, options, used, waste = stack[-1]
+            try:
+                option = next(options)
+            except StopIteration:
+                stack.pop()
+                if taken:
+                    taken.pop()
+                continue
+            nodes -= 1
+            if option is None:
+                continue
+            pattern, times, after = option
+            used, waste = used + times, waste + times * (capacity - sum(x * t for x, t in pattern))
+            # all sequences but the last: capacity x best - 1 - volume may be wasted at most to beat the incumbent
+            if used + (bound(after, capacity) if after else 0) >= best or waste > capacity * (best - 1) - volume:
+                continue
+            if not after:
+                incumbent, best = [*taken, (pattern, times)], used
+                continue
+            taken.append((pattern, times))
+            stack.append((after, branch(after, every), used, waste))
     return incumbent
 
 

@@ -54,6 +54,28 @@ def test_fewest_sequences_on_small_cases():
     assert sum(m for _, m in K.complete_bins(counts, 100)) <= sum(m for _, m in K.best_fit({k: v for k, v in counts.items() if v}, 100))
 
 
+def test_every_filling_is_tried():
+    """Full sequences that the likely fillings miss, and all fillings against a brute-force list."""
+    for sequences, times, lengths in ((3, 1, (59, 74, 119, 122, 138, 183, 187, 192, 198, 226, 278, 280, 309, 313, 322)),
+                                      (4, 1, (59, 64, 67, 132, 177, 182, 214, 216, 228, 237, 242, 255, 298, 305, 310, 321, 326, 367))):
+        counts = dict.fromkeys(lengths, times)
+        assert sum(lengths) * times == sequences * 1000
+        done = K.complete_bins(counts, 1000, 20_000)
+        assert held(done) == counts and sum(n for _, n in done) == sequences
+        assert all(sum(x * t for x, t in p) <= 1000 for p, _ in done)
+    r = random.Random(2)
+    for _ in range(60):
+        counts = {x: r.randrange(1, 4) for x in r.sample(range(1, 30), r.randrange(1, 6))}
+        lengths, room = sorted(counts, reverse=True), r.randrange(1, 70)
+        chosen = [{}]
+        for x in lengths:
+            chosen = [{**c, x: t} for c in chosen for t in range(counts[x] + 1)]
+        volume = lambda c: sum(x * t for x, t in c.items())
+        want = [[x for x in lengths for _ in range(c[x])] for c in chosen if volume(c) <= room and all(c[x] == counts[x] or volume(c) + x > room for x in lengths)]
+        got = [f for f in K.every_filling(room, lengths, counts) if f is not None]
+        assert sorted(got) == sorted(want)
+
+
 def test_large_counts_meet_the_bound():
     r = random.Random(3)
     counts = {x: r.randrange(1, 400) for x in range(1, 2049)}
