@@ -39,8 +39,8 @@ def _partitioned(c: Ctx) -> str:
 @query("catalog_scan")
 def q_catalog_scan(spark, sf):
     c = Ctx(spark, sf)
-    path = C.write_catalog_document(c.catalog, scratch_path(spark, "catalog"))
-    cat = C.read_catalog_document(spark, path)
+    path = C.write_catalog_lines(C.positioned(c.catalog), scratch_path(spark, "catalog"))
+    cat = C.read_catalog_lines(spark, path, with_position=True)
     return cat.select("cat_pos", "entry_key", "race_id", "event_id", "event_std",
                       F.array_join("splits", ",").alias("splits"))
 

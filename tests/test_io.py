@@ -73,3 +73,25 @@ def test_catalog_lines_round_trip(spark):
     back = C.read_catalog_lines(spark, path)
     assert back.exceptAll(c.catalog.select(*back.columns)).count() == 0
     assert back.count() == c.catalog.count()
+
+
+def test_catalog_scan_needs_no_single_document(spark, monkeypatch):
+    from racelens.plans import queries_io as IO
+    from racelens.plans.context import Ctx
+    cat = Ctx(spark, SF_SMALL).catalog
+    doc = C.read_catalog_document(spark, C.write_catalog_document(cat, scratch_path(spark, "cat-doc"))).collect()
+    few = "spark.sql.adaptive.coalescePartitions.enabled"   # a catalog this small is put into one task otherwise
+    was = spark.conf.get(few)
+    spark.conf.set(few, "false")
+    try:
+        path = C.write_catalog_lines(C.positioned(cat, 7), scratch_path(spark, "cat-lines"))
+    finally:
+        spark.conf.set(few, was)
+    lines = C.read_catalog_lines(spark, path, with_position=True)
+    assert len(lines.inputFiles()) > 1
+    assert [tuple(r) for r in lines.orderBy("cat_pos").select(*doc[0].asDict()).collect()] == [tuple(r) for r in doc]
+
+    def never(*_):
+        raise AssertionError("the query writes one document")
+    monkeypatch.setattr(C, "write_catalog_document", never)
+    assert IO.q_catalog_scan(spark, SF_SMALL).count() == len(doc)
