@@ -303,8 +303,8 @@ c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHER
 inner_parts AS (SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM c, range(2, {DEPTH}) t(k), range(1, {DEPTH}) u(i) WHERE k < m AND i + k - 1 <= m),
 kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inner_parts p WHERE p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.a >= 100 * c.a)),
 cuts AS (SELECT kept.*, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
-  FROM kept JOIN range(1, {DEPTH}) t(k) ON k < m JOIN total USING (lang)
-  JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(w[k + 1:m], ' ')),
+  FROM kept JOIN range(1, {DEPTH}) t(k) ON k < kept.m JOIN total USING (lang)
+  JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(w[k + 1:kept.m], ' ')),
 best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS pick FROM cuts),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best WHERE pick = 1)
 SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {TOP}"""
