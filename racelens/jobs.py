@@ -25,9 +25,10 @@ from racelens.operators import reports as P
 from racelens.operators import requests as Q
 from racelens.operators import training_table as T
 from racelens.operators.training import InterpolationRun, PredictionRun
-from racelens.session import ensure_checkpoint_dir
+from racelens.session import ensure_checkpoint_dir, scratch_path
 from racelens.sources import fixtures as X
 from racelens.sources import manifests as MF
+from racelens.sources import wide as W
 
 
 def training_table_job(spark: SparkSession, wide: DataFrame, catalog: DataFrame, raw_requests: DataFrame,
@@ -39,14 +40,13 @@ def training_table_job(spark: SparkSession, wide: DataFrame, catalog: DataFrame,
     if strict:
         Q.assert_valid_batch(requests)                  # C2: one aggregate, raises on a bad batch
     valid = Q.valid_requests(requests).checkpoint()
-    n_req = valid.count()
     cands = H.history_candidates(valid, catalog)
     universe = H.split_universe(cands)
     plan = H.split_plan(valid.join(cands.select("req_key").distinct(), "req_key", "left_semi"), universe)
     plan = plan.checkpoint()
     selection = H.latest_editions(cands, plan).checkpoint()
     prune = [(r[0], r[1]) for r in selection.select("race_id", "event_id").distinct().collect()]  # catalog metadata
-    table = T.training_table(wide, selection, plan, valid, split_columns, n_req, prune)
+    table = T.training_table(wide, selection, plan, valid, split_columns, prune_pairs=prune)
     table.write.mode("overwrite").option("compression", "snappy").partitionBy("req_key").parquet(f"{out_dir}/data")
     names = Q.run_names(valid, F.lit(run_ts)).select("req_key", "result_table")
     rec = MF.manifest_records(valid, plan, selection, names, T.schema_fingerprint(plan), F.lit(run_ts))
@@ -94,8 +94,10 @@ def main(argv: list[str]) -> int:
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024 * 1024))
     wide = X.race_wide(spark, sf_dir)
     if which in ("table", "all"):
-        print(training_table_job(spark, wide, X.race_catalog(spark, sf_dir), X.raw_requests(spark, sf_dir),
-                                 X.wide_split_names(X.leg_count(spark, sf_dir)), f"{out_dir}/table", "20260303-085722",
+        stored = W.write_partitioned(wide.checkpoint(), scratch_path(spark, "wide"))
+        names = W.stored_splits(spark, stored)   # every spelling of every edition
+        print(training_table_job(spark, W.read_declared(spark, stored, names), X.race_catalog(spark, sf_dir),
+                                 X.raw_requests(spark, sf_dir), names, f"{out_dir}/table", "20260303-085722",
                                  strict=False))   # the fixture batch holds one invalid request on purpose
     if which in ("interp", "all"):
         print(interpolation_job(spark, wide, f"{out_dir}/interp"))

@@ -8,17 +8,22 @@ The chosen (race, event) pairs, metadata of the same bound, are also turned
 into a literal predicate so that a partitioned source is pruned at planning
 time (``PartitionFilters``).
 
+Editions spell their columns differently (km_5 or km_5_0). ``source_columns``
+lists the spellings that any plan reads; one scan declares just these, a file
+without one reads it as null, and a split takes the first spelling that its
+row has. So every request is served by one pruned scan of the stored table.
+
 The multi-request table is long: (request, athlete row, split, seconds).
-Each request's plan travels with its selection rows as an array; values are
-picked from a per-row map of split columns, so the wide side is never
-shuffled and never unpivoted into all of its columns.
+Each request's plan travels with its selection rows as an array of places in
+the declared columns, so the wide side is never shuffled and never unpivoted
+into all of its columns.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelens.operators.history import KIND_DIRECT, KIND_IMPOSSIBLE
@@ -41,7 +46,7 @@ def literal_pair_filter(pairs: list[tuple[str, str]]) -> F.Column | None:
     return reduce(lambda a, b: a | b, conds)
 
 
-def result_filter(wide: DataFrame, selection: DataFrame, requests: DataFrame, n_requests: int,
+def result_filter(wide: DataFrame, selection: DataFrame, requests: DataFrame, n_requests: int | None = None,
                   prune_pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """Rows of the chosen (race, event) pairs, per request, plus the
     request's optional event filters ('None', empty, null = no filter)."""
@@ -58,34 +63,63 @@ def result_filter(wide: DataFrame, selection: DataFrame, requests: DataFrame, n_
                     & (F.col("estd_f").isNull() | (F.col("event_std") == F.col("estd_f"))))
 
 
-def plan_arrays(plan: DataFrame) -> DataFrame:
-    """Per request: the final splits as an ordered array of (ord, alias, kind, sources)."""
+def source_columns(plan: DataFrame) -> list[str]:
+    """Every column name that a direct split of any plan may be read from (one row per name, metadata)."""
+    names = plan.filter(F.col("kind") == KIND_DIRECT).select(F.explode("sources").alias("name")).distinct()
+    return sorted(r["name"] for r in names.collect())
+
+
+def plan_arrays(plan: DataFrame, columns: list[str]) -> DataFrame:
+    """Per request: the final splits as an ordered array of (ord, alias, split, direct, at);
+    ``at`` are the places of its sources among ``columns``, the requested name first."""
     kept = plan.filter(F.col("kind") != KIND_IMPOSSIBLE)
+    declared = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+    at = F.filter(F.transform("sources", lambda s: F.array_position(declared, s).cast("int") - 1), lambda i: i >= 0)
+    kept = kept.select("req_key", "ord", "alias", "split", (F.col("kind") == KIND_DIRECT).alias("direct"), at.alias("at"))
     return kept.groupBy("req_key").agg(F.array_sort(F.collect_list(
-        F.struct("ord", "alias", "split", "kind", "sources"))).alias("plan"))
+        F.struct("ord", "alias", "split", "direct", "at"))).alias("plan"))
 
 
-def training_table(wide: DataFrame, selection: DataFrame, plan: DataFrame, requests: DataFrame,
-                   split_columns: list[str], n_requests: int,
-                   prune_pairs: list[tuple[str, str]] | None = None) -> DataFrame:
-    """R11 (long form, all requests in one plan).
+def training_rows(wide: DataFrame, selection: DataFrame, plan: DataFrame, requests: DataFrame,
+                  split_columns: list[str], prune_pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """The rows of every request: req_key, nombre, identity columns and ``picked``,
+    the request's final splits in order as (ord, split under its published name, secs).
 
-    Output: req_key, nombre, athlete_id, event_id, event_std, gender, age,
-    ord, split (published name), secs. Direct splits read the coalesce of
-    every historical column of the same distance (requested name first);
-    interpolated splits are null, to be filled by the distance-ratio model."""
-    sel = selection.join(plan_arrays(plan), "req_key")
+    Direct splits read the first non-null historical column of the same
+    distance (requested name first); interpolated splits are null, to be
+    filled by the distance-ratio model."""
+    sel = selection.join(plan_arrays(plan, split_columns), "req_key")
     rows = result_filter(wide, sel.select("req_key", "race_id", "event_id", "nombre", "plan"),
-                         requests, n_requests, prune_pairs)
-    rowmap = F.map_from_arrays(F.array(*[F.lit(c) for c in split_columns]),
-                               F.array(*[F.col(c).cast("double") for c in split_columns]))
+                         requests, prune_pairs=prune_pairs)
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in split_columns]).cast("array<double>")
     picked = F.transform(F.col("plan"), lambda p: F.struct(
         p["ord"].alias("ord"), p["alias"].alias("split"),
-        F.when(p["kind"] == KIND_DIRECT,
-               F.try_element_at(F.filter(F.transform(p["sources"], lambda s: F.try_element_at(F.col("_m"), s)),
-                                         lambda v: v.isNotNull()), F.lit(1))).alias("secs")))
-    return (rows.select("req_key", "nombre", *ID_COLUMNS, rowmap.alias("_m"), "plan")
-            .select("req_key", "nombre", *ID_COLUMNS, F.inline(picked)))
+        F.when(p["direct"], F.get(F.filter(F.transform(p["at"], lambda i: F.get(F.col("_v"), i)),
+                                           lambda v: v.isNotNull()), F.lit(0))).alias("secs")))
+    return (rows.select("req_key", "nombre", *ID_COLUMNS, values.alias("_v"), "plan")
+            .select("req_key", "nombre", *ID_COLUMNS, picked.alias("picked")))
+
+
+def training_table(wide: DataFrame, selection: DataFrame, plan: DataFrame, requests: DataFrame,
+                   split_columns: list[str], n_requests: int | None = None,
+                   prune_pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """R11 (long form, all requests in one plan): req_key, nombre, athlete_id,
+    event_id, event_std, gender, age, ord, split (published name), secs."""
+    rows = training_rows(wide, selection, plan, requests, split_columns, prune_pairs)
+    return rows.select("req_key", "nombre", *ID_COLUMNS, F.inline("picked"))
+
+
+def training_projection_keyed(wide: DataFrame, selection: DataFrame, plan: DataFrame, requests: DataFrame,
+                              split_columns: list[str], prune_pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """R10 for every request in one table: a row per result, with the request's
+    published names and their values in request order, comma-joined (a missing
+    value is empty). Published names differ by request, so they are data here;
+    ``training_projection`` gives one request's columns."""
+    rows = training_rows(wide, selection, plan, requests, split_columns, prune_pairs)
+    value = lambda x: F.coalesce(x["secs"].cast("decimal(18,3)").cast("string"), F.lit(""))
+    return rows.select("req_key", *ID_COLUMNS,
+                       F.array_join(F.transform("picked", lambda x: x["split"]), ",").alias("split_names"),
+                       F.array_join(F.transform("picked", value), ",").alias("split_secs"))
 
 
 def training_projection(wide: DataFrame, plan_rows: list, split_columns: list[str]) -> DataFrame:
@@ -114,12 +148,12 @@ def schema_fingerprint(plan: DataFrame) -> DataFrame:
         "req_key", F.concat(F.lit("temp_wide_"), F.substring(F.md5("split_key"), 1, 8)).alias("source_table"))
 
 
-def write_snappy(df: DataFrame, path: str, mode: str = "error") -> str:
-    """Columnar, compressed result at a fixed location."""
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
-    return path
-
-
 def preview(df: DataFrame, order_cols: list[str], n: int = 5) -> DataFrame:
     """A deterministic look at the first rows (top-k by key)."""
     return df.orderBy(*order_cols).limit(n)
+
+
+def preview_each(df: DataFrame, key: str, order_cols: list[str], n: int = 5) -> DataFrame:
+    """S8 for a table of many requests: the first rows of each (Spark keeps n rows a key before it shuffles)."""
+    w = Window.partitionBy(key).orderBy(*order_cols)
+    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")

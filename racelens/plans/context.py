@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from racelens.operators import history as H
 from racelens.operators import requests as Q
+from racelens.operators import training_table as T
+from racelens.session import path_exists, scratch_path
 from racelens.sources import fixtures as X
+from racelens.sources import wide as W
 
 
 def r6(c) -> F.Column:
@@ -17,6 +20,9 @@ def r6(c) -> F.Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
@@ -49,6 +55,34 @@ class Ctx:
     def wide(self) -> DataFrame:
         return X.race_wide(self.spark, self.sf)
 
+    @cached_property
+    def stored(self) -> str:
+        """Folder of the wide table as editions store it (partitioned, odd years
+        under their own spelling), written once per session and folder. A
+        manifest and a junk file lie next to the data, as in the job's output."""
+        key = (self.spark.sparkContext.applicationId, self.sf)
+        if key not in _stored or not path_exists(self.spark, _stored[key]):
+            path = scratch_path(self.spark, "wide")
+            W.write_partitioned(self.wide.checkpoint(), path)   # two writes (even/odd spellings) from one materialisation
+            self.spark.createDataFrame([("{}",)], "value string").coalesce(1).write.text(path + "/metadata.json")
+            self.spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.text(path + "/junk")
+            _stored[key] = path
+        return _stored[key]
+
+    @cached_property
+    def chosen_pairs(self) -> list[tuple[str, str]]:
+        """Distinct (race, event) of the selection: at most five per request."""
+        return sorted((r["race_id"], r["event_id"]) for r in self.selection.select("race_id", "event_id").distinct().collect())
+
+    @cached_property
+    def sources(self) -> list[str]:
+        return T.source_columns(self.plan)
+
+    @cached_property
+    def history_rows(self) -> DataFrame:
+        """The stored table, pruned to chosen editions and to the columns that any plan reads."""
+        return W.read_declared(self.spark, self.stored, self.sources, self.chosen_pairs)
+
     @cached_property
     def long(self) -> DataFrame:
         return X.race_long(self.spark, self.sf)

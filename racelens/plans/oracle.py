@@ -192,11 +192,9 @@ JOIN race_wide w ON w.race_id = s.race_id AND w.event_id = s.event_id
 GROUP BY 1, 2, 3""", "selection", "req_prep", "race_wide"))
 
 oracle("training_projection", nsql("""
-SELECT w.athlete_id, w.event_id, w.event_std, w.gender, w.age,
-       w.km_5 AS km_5, w.km_20 AS km_20, w.km_10 AS "km_10.00",
-       CAST(NULL AS DOUBLE) AS km_7, CAST(NULL AS DOUBLE) AS "km_12.5", CAST(NULL AS DOUBLE) AS half
-FROM race_wide w JOIN selection s ON s.req_key = 'b4-0' AND w.race_id = s.race_id AND w.event_id = s.event_id""",
-                                    "race_wide", "selection"))
+SELECT req_key, athlete_id, event_id, event_std, gender, age, string_agg(split, ',' ORDER BY ord) AS split_names,
+       string_agg(coalesce(CAST(CAST(secs AS DECIMAL(18, 3)) AS VARCHAR), ''), ',' ORDER BY ord) AS split_secs
+FROM train_long GROUP BY req_key, finisher_id, athlete_id, event_id, event_std, gender, age""", "train_long"))
 
 oracle("training_table", nsql("""
 SELECT req_key, nombre, athlete_id, event_id, event_std, gender, age, ord, split, secs FROM train_long""",
@@ -208,4 +206,4 @@ FROM plan WHERE kind <> 'impossible' GROUP BY req_key""", "plan"))
 
 oracle("preview", nsql("""
 SELECT req_key, nombre, athlete_id, event_id, event_std, gender, age, ord, split, secs FROM train_long
-WHERE req_key = 'b4-0' ORDER BY athlete_id, event_id, ord, secs LIMIT 5""", "train_long"))
+QUALIFY row_number() OVER (PARTITION BY req_key ORDER BY athlete_id, event_id, ord, secs NULLS FIRST) <= 5""", "train_long"))

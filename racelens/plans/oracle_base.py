@@ -74,7 +74,8 @@ CTES: dict[str, tuple[list[str], str]] = {
     "legs": (["race_legs"], """
   SELECT DISTINCT leg AS k, 'km_' || CAST(5 * leg AS VARCHAR) AS name FROM race_legs"""),
     "wide_long": (["race_long"], """
-  SELECT finisher_id, split AS col, secs FROM race_long"""),
+  SELECT finisher_id, split || CASE WHEN TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) % 2 = 1 THEN '_0' ELSE '' END AS col,
+         secs FROM race_long"""),
     "race_catalog": (["finishers"], """
   SELECT race_id, event_id, max(event_std) AS event_std,
          TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) AS year
@@ -171,7 +172,7 @@ CTES: dict[str, tuple[list[str], str]] = {
            CAST(row_number() OVER (PARTITION BY req_key ORDER BY year DESC, race_id, event_id) AS INTEGER) AS rank
     FROM cand_flags WHERE NOT has_imp OR has_dist) WHERE rank <= 5"""),
     "train_long": (["selection", "req_prep", "race_wide", "plan", "plan_sources", "wide_long"], """
-  SELECT s.req_key, s.nombre, w.athlete_id, w.event_id, w.event_std, w.gender, w.age,
+  SELECT s.req_key, s.nombre, w.finisher_id, w.athlete_id, w.event_id, w.event_std, w.gender, w.age,
          p.ord, p.alias AS split,
          CASE WHEN p.kind = 'direct' THEN
            (SELECT arg_min(v.secs, ps.prio) FROM plan_sources ps JOIN wide_long v

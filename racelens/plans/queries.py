@@ -227,30 +227,23 @@ def q_history_adaptive(spark, sf):
 
 
 def _training_long(c: Ctx) -> DataFrame:
-    n_req = c.valid.count()
-    return T.training_table(c.wide, c.selection, c.plan, c.valid, c.splits, n_req)
+    """R11 over the stored editions: one scan, pruned to the chosen partitions and the columns of all plans."""
+    return T.training_table(c.history_rows, c.selection, c.plan, c.valid, c.sources)
 
 
 @query("result_filter")
 def q_result_filter(spark, sf):
     c = Ctx(spark, sf)
-    n_req = c.valid.count()
-    rows = T.result_filter(c.wide, c.selection, c.valid, n_req)
+    rows = T.result_filter(c.history_rows, c.selection, c.valid, prune_pairs=c.chosen_pairs)
     return rows.groupBy("req_key", "race_id", "event_id").agg(F.count(F.lit(1)).alias("n_rows"),
                                                               F.count_distinct("athlete_id").alias("n_athletes"))
 
 
 @query("training_projection")
 def q_training_projection(spark, sf):
-    """R10 for the first literal request (wide form, published names)."""
+    """R10 for every valid request, keyed by req_key."""
     c = Ctx(spark, sf)
-    key = "b4-0"
-    plan_rows = c.plan.filter(F.col("req_key") == key).collect()
-    sel_pairs = [(r["race_id"], r["event_id"]) for r in
-                 c.selection.filter(F.col("req_key") == key).select("race_id", "event_id").collect()]
-    cond = T.literal_pair_filter(sel_pairs)
-    wide = c.wide.filter(cond) if cond is not None else c.wide.limit(0)
-    return T.training_projection(wide, plan_rows, c.splits)
+    return T.training_projection_keyed(c.history_rows, c.selection, c.plan, c.valid, c.sources)
 
 
 @query("training_table")
@@ -266,5 +259,4 @@ def q_schema_fingerprint(spark, sf):
 @query("preview")
 def q_preview(spark, sf):
     c = Ctx(spark, sf)
-    t = _training_long(c).filter(F.col("req_key") == "b4-0")
-    return T.preview(t, ["athlete_id", "event_id", "ord", "secs"], 5)
+    return T.preview_each(_training_long(c), "req_key", ["athlete_id", "event_id", "ord", "secs"])

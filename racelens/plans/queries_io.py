@@ -27,15 +27,6 @@ RUN_TS = "20260303-085722"
 MODEL_BASE = "models"
 
 
-def _partitioned(c: Ctx) -> str:
-    path = scratch_path(c.spark, "wide")
-    W.write_partitioned(c.wide.checkpoint(), path)   # two writes (even/odd spellings) from one materialisation
-    # a manifest and a junk file lie next to the data, as in the job's output folder
-    c.spark.createDataFrame([("{}",)], "value string").coalesce(1).write.text(path + "/metadata.json")
-    c.spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.text(path + "/junk")
-    return path
-
-
 @query("catalog_scan")
 def q_catalog_scan(spark, sf):
     c = Ctx(spark, sf)
@@ -55,7 +46,8 @@ def _cells(df: DataFrame, ids: list[str], splits: list[str]) -> DataFrame:
 @query("wide_scan")
 def q_wide_scan(spark, sf):
     c = Ctx(spark, sf)
-    df = W.read_declared(spark, _partitioned(c), c.splits)
+    # as stored: editions of odd years have their own spelling, which reads as null here
+    df = W.read_declared(spark, c.stored, c.splits)
     return _cells(df, ["finisher_id", "athlete_id", "race_id", "event_id", "event_std", "gender", "age"], c.splits)
 
 
@@ -76,9 +68,7 @@ def q_column_def_parse(spark, sf):
 def q_partition_select(spark, sf):
     """Only the directories of chosen (race, event) pairs are read."""
     c = Ctx(spark, sf)
-    chosen = c.selection.select("race_id", "event_id").distinct()
-    pairs = [(r["race_id"], r["event_id"]) for r in chosen.collect()]   # catalog metadata
-    df = W.read_declared(spark, _partitioned(c), c.splits, pairs)
+    df = W.read_declared(spark, c.stored, ["km_5"], c.chosen_pairs)
     return df.groupBy("race_id", "event_id").agg(F.count(F.lit(1)).alias("n_rows"),
                                                  F.count("km_5").alias("n_km_5"))
 
@@ -174,7 +164,7 @@ def q_manifest_rewrite(spark, sf):
 @query("recursive_load")
 def q_recursive_load(spark, sf):
     c = Ctx(spark, sf)
-    df = W.recursive_load(spark, _partitioned(c))
+    df = W.recursive_load(spark, c.stored)
     cols = c.splits + [n + "_0" for n in c.splits]
     return _cells(df, ["finisher_id", "athlete_id", "event_std", "gender", "age"], cols)
 

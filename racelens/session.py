@@ -64,6 +64,11 @@ def input_size(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create one only in local mode."""
     sc = spark.sparkContext

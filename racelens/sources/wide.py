@@ -59,14 +59,20 @@ def read_declared(spark: SparkSession, path: str, split_columns: list[str],
     # only partition directories: a manifest or junk next to them is not data
     df = (spark.read.schema(schema).option("basePath", path)
           .parquet(f"{path}/race_id=*"))
-    if pairs:
+    if pairs is not None:
         from racelens.operators.training_table import literal_pair_filter
         cond = literal_pair_filter(pairs)
-        if cond is not None:
-            df = df.filter(cond)
+        df = df.filter(cond if cond is not None else F.lit(False))
     return df
 
 
+def stored_splits(spark: SparkSession, path: str) -> list[str]:
+    """Split columns that any stored edition has, in every spelling (from the files' footers)."""
+    names = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(f"{path}/race_id=*").columns
+    known = {n for n, _ in STANDARD_COLUMNS + PARTITION_COLUMNS}
+    return [n for n in names if n not in known]
+
+
 def recursive_load(spark: SparkSession, path: str) -> DataFrame:
     """Every readable Parquet file below ``path``, columns merged by name.
 
