@@ -10,8 +10,7 @@ One-pass estimators run for the whole grid at once:
   totals (the inverse of the parallel-merge formula), so all K fold models
   of all pairs come from one aggregate without any fold x fold product.
 
-The boosted-tree learner (M2) is Spark ML's ``GBTRegressor``; its data stays
-distributed and one fit per pair is submitted at a time.
+Boosted trees (M2) are in ``operators.boosting``.
 """
 
 from __future__ import annotations
@@ -23,7 +22,6 @@ from racelens.operators.grid import N_FOLDS
 
 # --- fixed values (defaults of the analysed trainers) -----------------------
 GBT_INTERP = dict(maxIter=100, maxDepth=10, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
-GBT_PRED = dict(maxIter=200, maxDepth=10, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
 QUANTILES = (0.1, 0.5, 0.9)          # empirical 80 % interval from training residuals
 EXTRAPOLATION_PENALTY = 10           # quality points taken from an extrapolated model
 EXTRAPOLATION_IMPROVEMENT = 0.9      # conservative factor on the improvement
@@ -148,21 +146,3 @@ def extrapolated_metrics(plan: DataFrame, source_eval: DataFrame) -> DataFrame:
         (F.col("improvement") * F.lit(EXTRAPOLATION_IMPROVEMENT)).alias("improvement"),
         F.col("improvement").alias("improvement_estimated"), F.col("approved").alias("approved"),
         F.col("n").alias("n_samples"))
-
-
-# ------------------------------------------------------------ boosted trees
-
-def fit_boosted(train: DataFrame, features: list[str], label: str = "y", params: dict | None = None):
-    """M2: Spark ML gradient-boosted trees on a distributed training set."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-    p = dict(GBT_INTERP if params is None else params)
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="pred", **p)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"), gbt])
-    return pipe.fit(train)
-
-
-def batch_predict(model, df: DataFrame) -> DataFrame:
-    """Apply a fitted model to rows."""
-    return model.transform(df).drop("features")

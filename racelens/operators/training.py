@@ -7,19 +7,18 @@ quantiles on the training athletes, interval coverage and gate on the
 held-out athletes.
 
 The estimator is the one-pass least-squares line (y on the position / last
-prefix split), fitted for all pairs and folds in one aggregate; the
-boosted-tree path (``boosted_cv``) runs Spark ML per pair.
+prefix split), fitted for all pairs and folds in one aggregate; boosted
+trees are fitted for the whole grid by ``operators.boosting``.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import cached_property, reduce
+from functools import cached_property
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from racelens.operators import boosting as B
 from racelens.operators import evaluate as E
 from racelens.operators import grid as G
 from racelens.operators import models as M
@@ -88,6 +87,13 @@ class InterpolationRun(_Run):
     def pairs(self) -> list[G.Pair]:
         return G.interp_pairs(self.splits)
 
+    @cached_property
+    def boost_rows(self) -> DataFrame:
+        """Rows of every trained position for the boosters, checkpointed (fit and scoring read them)."""
+        found = {r.pair_id: r.n_complete for r in self.counts.filter("trained").collect()}   # a row per pair
+        counts = {p.p_idx: found[p.pair_id] for p in self.pairs if p.pair_id in found}
+        return B.position_rows(self.wide, self.splits, counts).checkpoint()
+
     @cached_property
     def cv(self) -> DataFrame:
         return M.cv_predict(self.trained)
@@ -159,50 +165,10 @@ class PredictionRun(_Run):
                 .join(g, "pair_id", "left"))
 
 
-def _boost_data(run: InterpolationRun, pair: G.Pair) -> DataFrame:
-    from racelens.functions.names import gender_code
-    cols = [F.col(f"`{s}`").cast("double").alias(s) for s in run.splits] + [
-        F.col("age").cast("double").alias("age")]
-    return (run.wide.select("finisher_id", "athlete_id", *cols,
-                            gender_code(F.col("gender")).cast("double").alias("gender"))
-            .dropna(subset=[s for s in run.splits[:pair.p_idx + 1]] + ["age"])
-            .withColumn("fold", G.fold_of(F.col("finisher_id")))
-            .withColumn("y", F.col(pair.target))
-            .checkpoint())   # iterative learner: cut the lineage once (shared checkpoint folder)
-
-
-def boosted_fit_predict(run: InterpolationRun, pair_id: int, params: dict | None = None) -> DataFrame:
-    """M2 + M11: boosted trees fitted on all complete rows of one pair (the
-    final model), applied to those rows."""
-    pair = next(p for p in run.pairs if p.pair_id == pair_id)
-    data = _boost_data(run, pair)
-    model = M.fit_boosted(data, list(pair.features), "y", params)
-    return M.batch_predict(model, data).select(F.lit(pair_id).alias("pair_id"), "finisher_id", "y", "pred")
-
-
-def boosted_fit_predict_all(run: InterpolationRun, params: dict | None = None, parallel: int = 4) -> DataFrame:
-    """``boosted_fit_predict`` of every pair with at least ``min_samples`` rows.
-    Predictions go to the shared checkpoint folder as each pair is fitted, so
-    at most ``parallel`` models are held at once."""
-    ids = sorted(r.pair_id for r in run.counts.filter("trained").select("pair_id").collect())  # a row per pair
-    fitted = inheritable_thread_target(run.spark)(lambda i: boosted_fit_predict(run, i, params).checkpoint())
-    with ThreadPoolExecutor(parallel) as pool:
-        outs = list(pool.map(fitted, ids))
-    if not outs:
-        return run.wide.limit(0).select(F.lit(0).alias("pair_id"), "finisher_id", F.lit(0.0).alias("y"), F.lit(0.0).alias("pred"))
-    return reduce(DataFrame.unionByName, outs)
-
-
-def boosted_cv(run: InterpolationRun, pair_id: int, params: dict | None = None) -> DataFrame:
-    """M2 + M3 with boosted trees for one pair: K fits on the other folds,
-    out-of-fold predictions pooled. Features follow the pair's feature set."""
-    pair = next(p for p in run.pairs if p.pair_id == pair_id)
-    data = _boost_data(run, pair)
-    outs = []
-    for f in range(G.N_FOLDS):
-        model = M.fit_boosted(data.filter(F.col("fold") != f), list(pair.features), "y", params)
-        outs.append(M.batch_predict(model, data.filter(F.col("fold") == f)))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res.select(F.lit(pair_id).alias("pair_id"), "finisher_id", "fold", "y", "pred")
+def boosted_fit_predict_all(run: InterpolationRun, params: dict, store: str) -> DataFrame:
+    """M2 + M11: boosters of every pair with at least ``min_samples`` rows, written to
+    ``store`` and read back; the predictions of the rows they were fitted on."""
+    rows = run.boost_rows
+    B.fit_grid(rows, params).write.parquet(store)
+    models = run.spark.read.schema(B.TREE_SCHEMA).parquet(store)
+    return B.score_grid(rows, models, run.pairs)

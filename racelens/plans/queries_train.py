@@ -20,6 +20,7 @@ from racelens.operators.history import KIND_INTERP as PLAN_INTERP
 from racelens.operators.training import InterpolationRun, PredictionRun, boosted_fit_predict_all
 from racelens.plans.context import Ctx
 from racelens.plans.queries import query
+from racelens.session import scratch_path
 
 
 def r4(c) -> F.Column:
@@ -216,10 +217,11 @@ def q_fit_if_approved(spark, sf):
 def q_fit_boosted(spark, sf):
     """M2: boosted trees with the interpolation trainer's parameters (100
     trees, depth 10, rate 0.05, subsample 0.8, column share 0.8, seed 42),
-    fitted on every pair that meets min_samples; predictions of their rows
-    (rows-only check; the tree learner differs from the analysed one)."""
+    fitted on every pair that meets min_samples, stored, and applied to their
+    rows (rows-only check; the tree learner differs from the analysed one)."""
     c = TCtx(spark, sf)
-    return boosted_fit_predict_all(c.interp, M.GBT_INTERP)
+    found = boosted_fit_predict_all(c.interp, M.GBT_INTERP, scratch_path(spark, "boosted"))
+    return found.select("pair_id", F.col("row_key").alias("finisher_id"), "y", "pred")
 
 
 # ---------------------------------------------------------------- E
