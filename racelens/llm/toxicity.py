@@ -18,7 +18,9 @@ reaches a threshold, against the number of all, by a logistic curve. Threshold a
 are calibrated on the training rows. Only texts are inputs.
 
 The fit reads at most SAMPLE labelled rows (chosen by a hash of doc_id, the
-held-out fifth never among them) and of each at most WORDS distinct windows.
+held-out fifth never among them) and of each at most WORDS distinct windows;
+the first two dictionaries are trained on SAMPLE_BYTES of each side, about a
+hundred times their size, as the trainer advises.
 Every text is scored whole. Null and empty texts have no windows and get the
 curve's value there. Without rows of both labels the score is the share of
 toxic rows (0 without any).
@@ -40,6 +42,7 @@ from racelens.llm.common import read
 
 SAMPLE = 20_000
 WORDS = 3_000
+SAMPLE_BYTES = 12_000_000
 ORDINARY_BYTES, TOXIC_BYTES = 112_640, 8_192
 TIMES = 2
 LEVEL = 19
@@ -123,20 +126,34 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(texts: list[list[bytes]], labels: np.ndarray) -> Model:
-    """A model from the windows of training texts (each already distinct) and their labels (0, 1)."""
+def _samples_of(texts: list[bytes]) -> list[bytes]:
+    """Windows of 24 words to train a dictionary on, SAMPLE_BYTES of them at most."""
+    out, size = [], 0
+    for text in texts:
+        if size >= SAMPLE_BYTES:
+            break
+        t = text.split()
+        out += [b" " + b" ".join(t[i : i + 24]) + b" " for i in range(0, len(t), 24)]
+        size += len(text)
+    return out
+
+
+def fit(texts: list[bytes], labels: np.ndarray) -> Model:
+    """A model from the windows of training texts (distinct ones, blank-separated) and their labels (0, 1).
+
+    A text is split when it is looked at, so that only one is held as words."""
     share = float(labels.mean()) if len(labels) else 0.0
     if not 0 < share < 1:
         return Model(b"", b"", 1, (30.0 if share else -30.0, 0.0, 0.0))
     sides = [[t for t, y in zip(texts, labels, strict=True) if y == side] for side in (0, 1)]
-    grouped = [[b" " + b" ".join(t[i : i + 24]) + b" " for t in side for i in range(0, len(t), 24)] for side in sides]
-    model = Model(_dictionary(grouped[0], ORDINARY_BYTES), _dictionary(grouped[1], ORDINARY_BYTES // 4))
+    model = Model(_dictionary(_samples_of(sides[0]), ORDINARY_BYTES), _dictionary(_samples_of(sides[1]), ORDINARY_BYTES // 4))
     gains = model.gains()
     found: list[dict[bytes, int]] = [{}, {}]
-    for side, docs in enumerate(sides):
-        for t in docs:
-            for w in t:
-                found[side][w] = found[side].get(w, 0) + 1
+    for side in (1, 0):
+        for t in sides[side]:
+            for w in t.split():
+                if side or w in found[1]:  # words of ordinary texts alone are never picked
+                    found[side][w] = found[side].get(w, 0) + 1
     n0, n1 = map(len, sides)
     kept = []
     for w, k in found[1].items():
@@ -149,10 +166,14 @@ def fit(texts: list[list[bytes]], labels: np.ndarray) -> Model:
     rare = [_window(w) for _, w, k in kept for _ in range(min(k, 50))]
     model.toxic = _dictionary(rare, TOXIC_BYTES) if rare else b""
     gains = model.gains()
+    levels = range(1, 13)
+    reached = np.zeros((len(texts), len(levels) + 1))
+    for row, t in zip(reached, texts, strict=True):
+        values = np.fromiter(map(gains.__getitem__, t.split()), np.int64)
+        row[:-1], row[-1] = [(values >= threshold).sum() for threshold in levels], len(values)
     best = None
-    for threshold in range(1, 13):
-        x = np.array([gains.features(t, threshold) for t in texts], float)
-        x = np.column_stack([np.ones(len(x)), np.log1p(x)])
+    for i, threshold in enumerate(levels):
+        x = np.column_stack([np.ones(len(texts)), np.log1p(reached[:, [i, -1]])])
         w = _logistic(x, labels)
         p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-6, 1 - 1e-6)
         loss = -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean()
@@ -188,7 +209,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     # at most SAMPLE rows of two numbers: a proven bound
     rows = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic").mapInArrow(_samples, "words binary, toxic double").toArrow()
     rows = sorted(set(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)))  # copies count once
-    return fit([w.split() for w, _ in rows], np.array([y for _, y in rows]))
+    return fit([w for w, _ in rows], np.array([y for _, y in rows]))
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
