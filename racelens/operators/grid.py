@@ -139,7 +139,7 @@ def prefix_complete_len(splits: list[str]) -> Column:
 
 
 def pair_rows(wide: DataFrame, splits: list[str], pairs: list[Pair], row_key: str = "finisher_id",
-              gender_numeric: bool = False) -> DataFrame:
+              gender_numeric: bool = False, extra=None) -> DataFrame:
     """T4 for the whole grid in one pass.
 
     Complete cases follow from L, the row's count of leading non-null splits:
@@ -148,7 +148,8 @@ def pair_rows(wide: DataFrame, splits: list[str], pairs: list[Pair], row_key: st
     by p (resp. i) the candidates of a row are a prefix of the pair array, so
     ``slice`` + ``inline`` expand exactly them: no lambda, no per-pair check
     outside generated code. Output: pair_id, row_key, athlete_id, y, x, age,
-    gender, fold, holdout."""
+    gender, fold, holdout; ``extra`` (a function of the target's and position's
+    place among the row's values) may add columns."""
     n = len(splits)
     kinds = {p.kind for p in pairs}
     if len(kinds) != 1:
@@ -180,7 +181,7 @@ def pair_rows(wide: DataFrame, splits: list[str], pairs: list[Pair], row_key: st
                      F.inline(F.slice(lit_pairs, F.lit(1), F.least(take, F.lit(count_pairs)))))
     out = ex.select("pair_id", "row_key", "athlete_id",
                     F.get(F.col("v"), F.col("t")).alias("y"), F.get(F.col("v"), F.col("p")).alias("x"),
-                    "age", "gender", "fold", "holdout")
+                    "age", "gender", "fold", "holdout", *(extra(F.col("v"), F.col("t"), F.col("p")) if extra else []))
     return out if interp else out.filter(F.col("y").isNotNull())
 
 

@@ -1,14 +1,11 @@
 """Estimators on the pair rows.
 
-One-pass estimators run for the whole grid at once:
-
-* naive mean (M1) and the distance-ratio predictor (M6) are column
-  arithmetic after a per-pair aggregate;
-* one-feature least squares (y on x) is fitted from numerically stable
-  centred moments (``var_pop``, ``covar_pop``, ``avg`` per pair and per
-  fold). Leaving fold f out subtracts that fold's moments from the pair
-  totals (the inverse of the parallel-merge formula), so all K fold models
-  of all pairs come from one aggregate without any fold x fold product.
+* naive mean (M1) and the extrapolation of a source model by the distance
+  ratio (M6) are column arithmetic after a per-pair aggregate;
+* the prediction job's one-feature line is fitted from numerically stable
+  centred moments (``var_pop``, ``covar_pop``, ``avg`` per pair);
+* least squares on every feature, for all pairs and folds of the
+  interpolation job, is in ``operators.least_squares``.
 
 Boosted trees (M2) are in ``operators.boosting``.
 """
@@ -18,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from racelens.operators.grid import N_FOLDS
-
 # --- fixed values (defaults of the analysed trainers) -----------------------
 GBT_INTERP = dict(maxIter=100, maxDepth=10, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
 QUANTILES = (0.1, 0.5, 0.9)          # empirical 80 % interval from training residuals
@@ -47,31 +42,6 @@ def ols_fit(rows: DataFrame, keys=("pair_id",)) -> DataFrame:
     return m.select(*keys, "n", slope.alias("slope"), icpt.alias("intercept"))
 
 
-def ols_fold_models(rows: DataFrame) -> DataFrame:
-    """M3 models: for every (pair, fold) the line fitted on the OTHER folds."""
-    tot = _moments(rows, ["pair_id"], "t_")
-    fold = _moments(rows, ["pair_id", "fold"], "f_")
-    j = fold.join(F.broadcast(tot), "pair_id")   # tot: one row per pair (grid-bounded)
-    n_r = F.col("t_n") - F.col("f_n")
-    mx_r = (F.col("t_n") * F.col("t_mx") - F.col("f_n") * F.col("f_mx")) / n_r
-    my_r = (F.col("t_n") * F.col("t_my") - F.col("f_n") * F.col("f_my")) / n_r
-    # inverse parallel merge: S_total = S_f + S_r + n_f n_r / n (m_f - m_r)(m'_f - m'_r)
-    w = F.col("f_n") * n_r / F.col("t_n")
-    sxx_r = F.col("t_sxx") - F.col("f_sxx") - w * (F.col("f_mx") - mx_r) * (F.col("f_mx") - mx_r)
-    sxy_r = F.col("t_sxy") - F.col("f_sxy") - w * (F.col("f_mx") - mx_r) * (F.col("f_my") - my_r)
-    slope, icpt = _line(n_r, mx_r, my_r, sxx_r, sxy_r)
-    return j.filter(n_r > 0).select("pair_id", "fold", n_r.alias("n_train"), slope.alias("slope"),
-                                    icpt.alias("intercept"))
-
-
-def cv_predict(rows: DataFrame) -> DataFrame:
-    """M3: out-of-fold predictions of all folds pooled (one join with a
-    table of pairs x K rows)."""
-    models = ols_fold_models(rows)
-    return (rows.join(F.broadcast(models), ["pair_id", "fold"])
-            .withColumn("pred", F.col("intercept") + F.col("slope") * F.col("x")))
-
-
 def fold_mae(cv_rows: DataFrame) -> DataFrame:
     """M4: MAE per fold, then mean and population std over the folds."""
     per = cv_rows.groupBy("pair_id", "fold").agg(F.avg(F.abs(F.col("y") - F.col("pred"))).alias("mae"))
@@ -85,11 +55,14 @@ def naive_mean(rows: DataFrame) -> DataFrame:
     return rows.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean_y"))
 
 
-def distance_ratio_predict(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """M6: predict the target as the position value x target_km / position_km."""
-    p = pairs.select("pair_id", (F.col("target_km") / F.nullif(F.col("position_km"), F.lit(0.0))).alias("factor"))
-    return (rows.join(F.broadcast(p), "pair_id")
-            .withColumn("pred", F.col("x") * F.col("factor")))
+def extrapolate(plan: DataFrame, source_preds: DataFrame) -> DataFrame:
+    """M6: a target without data is predicted by the model of its nearest source
+    split at the same position, times target_km / source_km. ``source_preds``
+    has the source model's predictions (target, position, pred), or any of
+    their averages, since the rule is linear."""
+    factor = F.col("target_km") / F.nullif(F.col("source_km"), F.lit(0.0))
+    return (plan.join(source_preds, plan.source_col == source_preds.target).drop("target")
+            .withColumn("factor", factor).withColumn("pred", F.col("pred") * F.col("factor")))
 
 
 def holdout_fit(rows: DataFrame) -> DataFrame:
@@ -97,12 +70,16 @@ def holdout_fit(rows: DataFrame) -> DataFrame:
     return ols_fit(rows.filter(~F.col("holdout")))
 
 
-def holdout_predict(rows: DataFrame) -> DataFrame:
-    models = holdout_fit(rows).select("pair_id", "slope", "intercept")
-    return (rows.join(F.broadcast(models), "pair_id")
+def line_predict(rows: DataFrame, models: DataFrame) -> DataFrame:
+    """The line of each pair applied to its rows (models: one row per pair, bounded by the grid)."""
+    return (rows.join(F.broadcast(models.select("pair_id", "slope", "intercept")), "pair_id")
             .withColumn("pred", F.col("intercept") + F.col("slope") * F.col("x")))
 
 
+def holdout_predict(rows: DataFrame) -> DataFrame:
+    return line_predict(rows, holdout_fit(rows))
+
+
 def residual_quantiles(pred_rows: DataFrame, exact="exact", accuracy: int = 100_000) -> DataFrame:
     """M8: q10, q50, q90 of the TRAINING residuals y - pred per pair.
 
@@ -134,15 +111,17 @@ def coverage(intervals: DataFrame) -> DataFrame:
 def extrapolated_metrics(plan: DataFrame, source_eval: DataFrame) -> DataFrame:
     """M7: a target without data borrows the model of its nearest source split
     at the same position: MAE and its std scale by target_km / source_km,
-    quality loses 10 points (floor 0), improvement x 0.9 (original kept),
-    approval is inherited from the source model."""
+    quality loses 10 points (floor 0), improvement x 0.9 (original kept). Only
+    an approved source gives a model (``trained``); the metrics of all others
+    are null."""
     factor = F.col("target_km") / F.nullif(F.col("source_km"), F.lit(0.0))
     j = plan.join(source_eval, plan.source_col == source_eval.target)
+    if_approved = lambda c: F.when(F.col("approved"), c)
     return j.select(
         "req_key", F.concat(F.col("alias"), F.lit("_desde_"), F.col("position"), F.lit("_ext")).alias("model_id"),
         F.col("alias").alias("target"), "position", F.col("source_col").alias("source"), factor.alias("factor"),
-        (F.col("mae_folds_mean") * factor).alias("mae"), (F.col("mae_folds_std") * factor).alias("mae_std"),
-        F.greatest(F.col("score") - F.lit(EXTRAPOLATION_PENALTY), F.lit(0)).alias("score"),
-        (F.col("improvement") * F.lit(EXTRAPOLATION_IMPROVEMENT)).alias("improvement"),
-        F.col("improvement").alias("improvement_estimated"), F.col("approved").alias("approved"),
-        F.col("n").alias("n_samples"))
+        F.col("approved").alias("trained"),
+        if_approved(F.col("mae_folds_mean") * factor).alias("mae"), if_approved(F.col("mae_folds_std") * factor).alias("mae_std"),
+        if_approved(F.greatest(F.col("score") - F.lit(EXTRAPOLATION_PENALTY), F.lit(0))).alias("score"),
+        if_approved(F.col("improvement") * F.lit(EXTRAPOLATION_IMPROVEMENT)).alias("improvement"),
+        if_approved(F.col("improvement")).alias("improvement_estimated"), if_approved(F.col("n")).alias("n_samples"))

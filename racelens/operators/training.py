@@ -6,8 +6,9 @@ out-of-fold predictions, error metrics, gate.
 quantiles on the training athletes, interval coverage and gate on the
 held-out athletes.
 
-The estimator is the one-pass least-squares line (y on the position / last
-prefix split), fitted for all pairs and folds in one aggregate; boosted
+The interpolation estimator is least squares on every feature of T3, solved
+for all pairs and folds from Gram matrices (``operators.least_squares``); the
+prediction estimator is the one-pass line on the last prefix split. Boosted
 trees are fitted for the whole grid by ``operators.boosting``.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from racelens.operators import boosting as B
 from racelens.operators import evaluate as E
 from racelens.operators import grid as G
+from racelens.operators import least_squares as LS
 from racelens.operators import models as M
 
 
@@ -94,9 +96,40 @@ class InterpolationRun(_Run):
         counts = {p.p_idx: found[p.pair_id] for p in self.pairs if p.pair_id in found}
         return B.position_rows(self.wide, self.splits, counts).checkpoint()
 
+    @cached_property
+    def centre(self) -> tuple[float, float]:
+        return LS.centres(self.wide, self.splits)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """Pair rows with the feature vector of T3 (``z``) and the split before the target (``base``)."""
+        def features(v, t, p):
+            legs = F.zip_with(v, F.concat(F.array(F.lit(0.0)), v), lambda b, a: b - a)
+            base = F.coalesce(F.get(v, t - 1), F.lit(0.0))
+            return [LS.pair_features(legs, F.col("age"), F.col("gender"), t, p, self.centre).alias("z"), base.alias("base")]
+        return G.pair_rows(self.wide, self.splits, self.pairs, extra=features)
+
+    @cached_property
+    def fold_models(self) -> DataFrame:
+        """M3 models of every pair and fold, checkpointed: a grid-sized table that several plans join."""
+        return LS.fold_models(self.wide, self.splits, self.pairs, self.centre).checkpoint()
+
     @cached_property
     def cv(self) -> DataFrame:
-        return M.cv_predict(self.trained)
+        return LS.cv_predict(self.trained, self.fold_models, self.centre)
+
+    @cached_property
+    def final_models(self) -> DataFrame:
+        """M5: models of all complete rows, of the approved pairs alone."""
+        approved = self.gates.filter("approved").select("pair_id")
+        final = self.fold_models.filter(F.col("fold") == LS.FINAL).join(approved, "pair_id", "left_semi")
+        return (final.join(self.pair_df.select("pair_id", "model_id", "target", "position"), "pair_id")
+                .select("pair_id", "model_id", "target", "position", F.col("n_train"), "beta"))
+
+    def predict(self, models: DataFrame) -> DataFrame:
+        """(pair_id, row_key, y, pred) of all complete rows of the pairs that have a model."""
+        found = LS.predict(self.trained, models.select("pair_id", "beta"), self.centre, ["pair_id"])
+        return found.select("pair_id", "row_key", "y", "pred")
 
     @cached_property
     def metrics(self) -> DataFrame:

@@ -186,6 +186,9 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
+MATERIALISED = {"race_legs", "itrained", "ikept", "ifeat", "isystems", "ifold_models", "icv"}
+
+
 def _order(names: tuple[str, ...]) -> list[str]:
     seen: list[str] = []
 
@@ -209,4 +212,5 @@ def sql(body: str, *deps: str, extra: dict[str, tuple[list[str], str]] | None =
     names = _order(deps)
     if not names:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in names) + "\n" + body
+    # tables that are read row by row more than once, or that refer to themselves, are worked out once
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in MATERIALISED else ''}({CTES[n][1]}\n)" for n in names) + "\n" + body

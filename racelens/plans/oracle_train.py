@@ -90,24 +90,41 @@ _T = {
   SELECT * FROM irows WHERE pair_id IN (SELECT pair_id FROM icounts WHERE trained)"""),
     "ptrained": (["prows", "pcounts"], """
   SELECT * FROM prows WHERE pair_id IN (SELECT pair_id FROM pcounts WHERE trained)"""),
-    "ifold_models": (["itrained"], f"""
-  SELECT pair_id, fold, n_r AS n_train,
-         CASE WHEN sxx_r > 0 THEN sxy_r / sxx_r ELSE 0.0 END AS slope,
-         my_r - CASE WHEN sxx_r > 0 THEN sxy_r / sxx_r ELSE 0.0 END * mx_r AS intercept
-  FROM (
-    SELECT pair_id, fold, n_r, mx_r, my_r,
-           t_sxx - f_sxx - f_n * n_r / t_n * (f_mx - mx_r) * (f_mx - mx_r) AS sxx_r,
-           t_sxy - f_sxy - f_n * n_r / t_n * (f_mx - mx_r) * (f_my - my_r) AS sxy_r
-    FROM (
-      SELECT f.*, t.*, t.t_n - f.f_n AS n_r,
-             (t.t_n * t.t_mx - f.f_n * f.f_mx) / (t.t_n - f.f_n) AS mx_r,
-             (t.t_n * t.t_my - f.f_n * f.f_my) / (t.t_n - f.f_n) AS my_r
-      FROM ({_moments('itrained', 'pair_id, fold', 'f_')}) f
-      JOIN ({_moments('itrained', 'pair_id', 't_')}) t ON f.pair_id = t.pair_id)
-    WHERE n_r > 0)"""),
-    "icv": (["itrained", "ifold_models"], """
-  SELECT r.*, m.n_train, m.slope, m.intercept, m.intercept + m.slope * r.x AS pred
-  FROM itrained r JOIN ifold_models m ON r.pair_id = m.pair_id AND r.fold = m.fold"""),
+    # M3 the long way: the kept splits' differences, age and gender of every row, normal equations of the other folds
+    # summed row by row, and elimination pivot by pivot (a pivot that is next to nothing is left out)
+    "ikept": (["itrained", "ipairs", "race_legs"], """
+  SELECT r.pair_id, r.row_key, list(l.secs ORDER BY l.leg) AS kept, max(CASE WHEN l.leg = p.y_leg - 1 THEN l.secs END) AS before
+  FROM itrained r JOIN ipairs p ON p.pair_id = r.pair_id
+  JOIN race_legs l ON l.l_orderkey = r.row_key AND l.leg <= p.x_leg AND l.leg <> p.y_leg GROUP BY 1, 2"""),
+    "ifeat": (["ikept", "itrained"], """
+  SELECT r.pair_id, r.row_key, r.fold, r.y, coalesce(k.before, 0.0) + 1450 AS base,
+         [1.0, r.age - 47.5, r.gender] || list_transform(k.kept, lambda v, i: v - (CASE WHEN i > 1 THEN k.kept[i - 1] ELSE 0 END) - 1450.0) AS z
+  FROM itrained r JOIN ikept k ON k.pair_id = r.pair_id AND k.row_key = r.row_key"""),
+    "icells": (["ifeat"], """
+  SELECT f.pair_id, t.k AS fold, i, j, sum(f.zz[i] * f.zz[j]) AS g
+  FROM (SELECT pair_id, fold, z || [y - base] AS zz, len(z) AS d FROM ifeat) f, range(5) t(k),
+       unnest(range(1, f.d + 1)) a(i), unnest(range(1, f.d + 2)) b(j)
+  WHERE f.fold <> t.k GROUP BY 1, 2, 3, 4"""),
+    "isystems": (["icells"], """
+  SELECT pair_id, fold, list(line ORDER BY i) AS m, list(line[i] ORDER BY i) AS own, count(*) AS d
+  FROM (SELECT pair_id, fold, i, list(g ORDER BY j) AS line FROM icells GROUP BY 1, 2, 3) GROUP BY 1, 2"""),
+    "isweep": (["isystems"], """
+  SELECT pair_id, fold, 0 AS k, d, m, own, CAST([] AS BOOLEAN[]) AS used FROM isystems
+  UNION ALL
+  SELECT pair_id, fold, k + 1, d,
+         CASE WHEN own[k + 1] > 0 AND m[k + 1][k + 1] > 1e-9 * own[k + 1] THEN
+           list_transform(m, lambda line, i: list_transform(line, lambda v, j:
+             CASE WHEN i = k + 1 THEN v / m[k + 1][k + 1] ELSE v - line[k + 1] * m[k + 1][j] / m[k + 1][k + 1] END))
+         ELSE m END, own, list_append(used, own[k + 1] > 0 AND m[k + 1][k + 1] > 1e-9 * own[k + 1])
+  FROM isweep WHERE k < d"""),
+    "ifold_models": (["isweep", "ifeat"], """
+  SELECT s.pair_id, s.fold, n.n_train, s.d, list_transform(s.m, lambda line, i: CASE WHEN s.used[i] THEN line[s.d + 1] ELSE 0.0 END) AS beta
+  FROM isweep s JOIN (SELECT pair_id, t.k AS fold, count(*) AS n_train FROM ifeat, range(5) t(k) WHERE fold <> t.k GROUP BY 1, 2) n
+    ON n.pair_id = s.pair_id AND n.fold = s.fold WHERE s.k = s.d"""),
+    "icv": (["itrained", "ifeat", "ifold_models"], """
+  SELECT r.*, m.n_train, m.d, m.beta, f.base + list_dot_product(f.z, m.beta) AS pred
+  FROM itrained r JOIN ifeat f ON f.pair_id = r.pair_id AND f.row_key = r.row_key
+  JOIN ifold_models m ON r.pair_id = m.pair_id AND r.fold = m.fold"""),
     "igate": (["icv"], _gate("icv")),
     "ifolds": (["icv"], """
   SELECT pair_id, avg(mae) AS mae_folds_mean, stddev_pop(mae) AS mae_folds_std, count(*) AS k
@@ -185,28 +202,31 @@ oracle("naive_mean", tsql(_ids("(SELECT pair_id, count(*) AS n, avg(y) AS mean_y
                                "s.n, round(s.mean_y, 4) AS mean_y"), "ipairs", "itrained"))
 
 oracle("cv_predict", tsql(_ids("""(SELECT pair_id, fold, count(*) AS n_pred, first(n_train) AS n_train,
-  first(slope) AS slope, first(intercept) AS intercept, avg(pred) AS mean_pred FROM icv GROUP BY 1, 2)""", "i",
-    "s.fold, s.n_pred, s.n_train, round(s.slope, 4) AS slope, round(s.intercept, 4) AS intercept, "
+  CAST(first(d) - 1 AS INTEGER) AS n_features, first(beta[2]) AS age_weight, avg(pred) AS mean_pred FROM icv GROUP BY 1, 2)""", "i",
+    "s.fold, s.n_pred, s.n_train, s.n_features, round(s.age_weight, 4) AS age_weight, "
     "round(s.mean_pred, 4) AS mean_pred"), "ipairs", "icv"))
 
 oracle("fold_mae", tsql(_ids("ifolds", "i", "round(s.mae_folds_mean, 4) AS mae_folds_mean, "
                                            "round(s.mae_folds_std, 4) AS mae_folds_std, s.k"), "ipairs", "ifolds"))
 
-oracle("extrapolate", tsql("""
-SELECT p.model_id, round(p.target_km / p.position_km, 4) AS factor, count(*) AS n,
-       round(avg(abs(r.y - r.x * (p.target_km / p.position_km))), 4) AS mae
-FROM itrained r JOIN ipairs p ON r.pair_id = p.pair_id GROUP BY p.model_id, p.target_km, p.position_km""",
-                           "ipairs", "itrained"))
-
 _COLS = "SELECT name AS col, CAST(5 * k AS DOUBLE) AS col_km FROM legs"
 
+oracle("extrapolate", tsql(f"""
+SELECT p.req_key, p.alias || '_desde_' || i.position || '_ext' AS model_id, c.col AS source,
+       round(p.target_km / p.source_km, 4) AS factor, v.n, round(v.pred * (p.target_km / p.source_km), 4) AS mean_pred
+FROM plan p JOIN ({_COLS}) c ON round(p.source_km, 3) = round(c.col_km, 3)
+JOIN ipairs i ON i.target = c.col JOIN (SELECT pair_id, count(*) AS n, avg(pred) AS pred FROM icv GROUP BY 1) v ON v.pair_id = i.pair_id
+WHERE p.kind = 'interpolate'""", "plan", "ipairs", "icv", "legs"))
+
 oracle("extrapolated_metrics", tsql(f"""
 SELECT p.req_key, p.alias || '_desde_' || e.position || '_ext' AS model_id, c.col AS source,
-       round(p.target_km / p.source_km, 4) AS factor,
-       round(e.mae_folds_mean * (p.target_km / p.source_km), 4) AS mae,
-       round(e.mae_folds_std * (p.target_km / p.source_km), 4) AS mae_std,
-       greatest(e.score - 10, 0) AS score, round(e.improvement * 0.9, 4) AS improvement,
-       round(e.improvement, 4) AS improvement_estimated, e.approved, e.n AS n_samples
+       round(p.target_km / p.source_km, 4) AS factor, e.approved AS trained,
+       CASE WHEN e.approved THEN round(e.mae_folds_mean * (p.target_km / p.source_km), 4) END AS mae,
+       CASE WHEN e.approved THEN round(e.mae_folds_std * (p.target_km / p.source_km), 4) END AS mae_std,
+       CASE WHEN e.approved THEN greatest(e.score - 10, 0) END AS score,
+       CASE WHEN e.approved THEN round(e.improvement * 0.9, 4) END AS improvement,
+       CASE WHEN e.approved THEN round(e.improvement, 4) END AS improvement_estimated,
+       CASE WHEN e.approved THEN e.n END AS n_samples
 FROM plan p JOIN ({_COLS}) c ON round(p.source_km, 3) = round(c.col_km, 3)
 JOIN ieval e ON e.target = c.col
 WHERE p.kind = 'interpolate'""", "plan", "ieval", "legs"))
@@ -222,8 +242,10 @@ oracle("coverage", tsql(_ids("pcov", "p", "round(s.coverage, 4) AS coverage, s.n
 
 oracle("batch_predict", tsql(_ids("ppred", "p", "s.row_key, round(s.pred, 4) AS pred"), "ppairs", "ppred"))
 
-oracle("fit_if_approved", tsql(_ids("igate", "i", "s.approved, CASE WHEN s.approved THEN 'fit_final' "
-                                                  "ELSE 'skip' END AS action"), "ipairs", "igate"))
+oracle("fit_if_approved", tsql("""
+SELECT p.model_id, g.approved, CASE WHEN g.approved THEN 'fit_final' ELSE 'skip' END AS action,
+       CASE WHEN g.approved THEN g.n END AS n_train, CAST(CASE WHEN g.approved THEN p.n_features END AS INTEGER) AS n_features
+FROM igate g JOIN ipairs p ON p.pair_id = g.pair_id""", "ipairs", "igate"))
 
 oracle("error_metrics", tsql(_ids("""(SELECT pair_id, count(*) AS n, avg(abs(y - pred)) AS mae,
     sqrt(avg((y - pred) * (y - pred))) AS rmse,

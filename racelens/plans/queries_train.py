@@ -21,6 +21,7 @@ from racelens.operators.training import InterpolationRun, PredictionRun, boosted
 from racelens.plans.context import Ctx
 from racelens.plans.queries import query
 from racelens.session import scratch_path
+from racelens.sources.models import load_models, save_models
 
 
 def r4(c) -> F.Column:
@@ -129,10 +130,11 @@ def q_cv_predict(spark, sf):
     c = TCtx(spark, sf)
     cv = c.interp.cv
     agg = cv.groupBy("pair_id", "fold").agg(
-        F.count(F.lit(1)).alias("n_pred"), F.first("n_train").alias("n_train"), F.first("slope").alias("slope"),
-        F.first("intercept").alias("intercept"), F.avg("pred").alias("mean_pred"))
-    return _with_ids(c, c.interp, agg.select("pair_id", "fold", "n_pred", "n_train", r4("slope").alias("slope"),
-                                             r4("intercept").alias("intercept"), r4("mean_pred").alias("mean_pred")))
+        F.count(F.lit(1)).alias("n_pred"), F.first("n_train").alias("n_train"),
+        (F.size(F.first("beta")) - 1).cast("int").alias("n_features"),
+        F.first(F.get("beta", F.lit(1))).alias("age_weight"), F.avg("pred").alias("mean_pred"))
+    return _with_ids(c, c.interp, agg.select("pair_id", "fold", "n_pred", "n_train", "n_features",
+                                             r4("age_weight").alias("age_weight"), r4("mean_pred").alias("mean_pred")))
 
 
 @query("fold_mae")
@@ -143,13 +145,23 @@ def q_fold_mae(spark, sf):
                                            r4("mae_folds_std").alias("mae_folds_std"), "k"))
 
 
+def _extrapolated(c: TCtx) -> DataFrame:
+    """Interpolated splits of every request with the wide-table column at their source distance."""
+    cols = c.spark.createDataFrame([(s, G.N_km(s)) for s in c.interp.splits], "source_col string, col_km double")
+    return (c.plan.filter(F.col("kind") == PLAN_INTERP)
+            .join(F.broadcast(cols), F.round("source_km", 3) == F.round("col_km", 3))
+            .select("req_key", "alias", "source_col", "source_km", "target_km"))
+
+
 @query("extrapolate")
 def q_extrapolate(spark, sf):
+    """M6: the source model's out-of-fold predictions times the distance ratio, averaged per position."""
     c = TCtx(spark, sf)
-    p = M.distance_ratio_predict(c.interp.trained, c.interp.pair_df)
-    agg = p.groupBy("pair_id").agg(F.first("factor").alias("factor"), F.count(F.lit(1)).alias("n"),
-                                   F.avg(F.abs(F.col("y") - F.col("pred"))).alias("mae"))
-    return _with_ids(c, c.interp, agg.select("pair_id", r4("factor").alias("factor"), "n", r4("mae").alias("mae")))
+    means = c.interp.cv.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n"), F.avg("pred").alias("pred"))
+    preds = c.interp.pair_df.select("pair_id", "target", "position").join(means, "pair_id").drop("pair_id")
+    out = M.extrapolate(_extrapolated(c), preds)
+    return out.select("req_key", F.concat("alias", F.lit("_desde_"), "position", F.lit("_ext")).alias("model_id"),
+                      F.col("source_col").alias("source"), r4("factor").alias("factor"), "n", r4("pred").alias("mean_pred"))
 
 
 def _interp_eval(c: TCtx) -> DataFrame:
@@ -159,18 +171,15 @@ def _interp_eval(c: TCtx) -> DataFrame:
 @query("extrapolated_metrics")
 def q_extrapolated_metrics(spark, sf):
     """Interpolated splits of every request borrow the evaluated model of the
-    wide-table column at their source distance, at every later position."""
+    wide-table column at their source distance, at every later position; a
+    rejected source gives no model."""
     c = TCtx(spark, sf)
-    cols = c.spark.createDataFrame([(s, G.N_km(s)) for s in c.interp.splits], "source_col string, col_km double")
-    plan = (c.plan.filter(F.col("kind") == PLAN_INTERP)
-            .join(F.broadcast(cols), F.round("source_km", 3) == F.round("col_km", 3))
-            .select("req_key", "alias", "source_col", "source_km", "target_km"))
     ev = _interp_eval(c).select("target", "position", "mae_folds_mean", "mae_folds_std", "score", "improvement",
                                 "approved", "n")
-    out = M.extrapolated_metrics(plan, ev)
-    return out.select("req_key", "model_id", "source", r4("factor").alias("factor"), r4("mae").alias("mae"),
+    out = M.extrapolated_metrics(_extrapolated(c), ev)
+    return out.select("req_key", "model_id", "source", r4("factor").alias("factor"), "trained", r4("mae").alias("mae"),
                       r4("mae_std").alias("mae_std"), "score", r4("improvement").alias("improvement"),
-                      r4("improvement_estimated").alias("improvement_estimated"), "approved", "n_samples")
+                      r4("improvement_estimated").alias("improvement_estimated"), "n_samples")
 
 
 @query("residual_quantiles")
@@ -198,19 +207,22 @@ def q_coverage(spark, sf):
 
 @query("batch_predict")
 def q_batch_predict(spark, sf):
-    """M11 with the fitted least-squares models of the prediction grid."""
+    """The prediction grid's models, which are kept for every pair, saved, loaded and applied as a join."""
     c = TCtx(spark, sf)
-    p = c.pred.predictions
+    store = save_models(M.holdout_fit(c.pred.trained), scratch_path(spark, "pred-models"))
+    p = M.line_predict(c.pred.trained, load_models(spark, store))
     return _with_ids(c, c.pred, p.select("pair_id", "row_key", r4("pred").alias("pred")))
 
 
 @query("fit_if_approved")
 def q_fit_if_approved(spark, sf):
-    """M5: the final fit runs only for pairs whose gate passed."""
+    """M5: the final models of the pairs whose gate passed are saved; what the loaded store holds, per pair."""
     c = TCtx(spark, sf)
-    g = c.interp.gates.select("pair_id", "approved",
-                              F.when(F.col("approved"), "fit_final").otherwise("skip").alias("action"))
-    return _with_ids(c, c.interp, g)
+    store = save_models(c.interp.final_models, scratch_path(spark, "interp-models"))
+    kept = load_models(spark, store).select("pair_id", "n_train", (F.size("beta") - 1).cast("int").alias("n_features"))
+    g = c.interp.gates.select("pair_id", "approved").join(kept, "pair_id", "left")
+    return _with_ids(c, c.interp, g.select("pair_id", "approved", F.when(F.col("n_train").isNotNull(), "fit_final").otherwise("skip").alias("action"),
+                                           "n_train", "n_features"))
 
 
 @query("fit_boosted")
