@@ -185,14 +185,46 @@ def pair_rows(wide: DataFrame, splits: list[str], pairs: list[Pair], row_key: st
     return out if interp else out.filter(F.col("y").isNotNull())
 
 
-def pair_counts(rows: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
-    """T4 + T5: complete rows per pair and whether the pair is trained."""
-    return (rows.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n_complete"))
+def _leading(wide: DataFrame, splits: list[str]) -> DataFrame:
+    """Rows that can be complete cases, with their count of leading non-null splits."""
+    return wide.filter("age is not null").select("athlete_id", *[F.col(f"`{s}`") for s in splits],
+                                                 prefix_complete_len(splits).alias("_L")).filter("_L > 0")
+
+
+def interp_counts(wide: DataFrame, splits: list[str], pair_df: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """T4 + T5 of the (target, position) grid from a histogram of leading counts:
+    a pair's complete rows are those with more leading splits than its position."""
+    hist = _leading(wide, splits).groupBy("_L").agg(F.count(F.lit(1)).alias("n"))
+    n = hist.select(F.explode(F.sequence(F.lit(0), F.col("_L") - 1)).alias("p_idx"), "n").groupBy("p_idx").agg(F.sum("n").alias("n"))
+    out = pair_df.select("pair_id", "p_idx").join(n, "p_idx", "left")
+    return (out.select("pair_id", F.coalesce("n", F.lit(0)).alias("n_complete"))
             .withColumn("trained", F.col("n_complete") >= min_samples))
 
 
-def trained_rows(rows: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
-    """Rows of pairs with at least ``min_samples`` complete rows (broadcast of
-    the per-pair table, whose size is bounded by the grid, n(n-1)/2 rows)."""
-    ok = pair_counts(rows, min_samples).filter("trained").select("pair_id")
-    return rows.join(F.broadcast(ok), "pair_id", "left_semi")
+def holdout_counts(wide: DataFrame, splits: list[str], pair_df: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """T7 sizes of the (prefix, future) grid: rows and distinct athletes, held out and not.
+
+    Rows come from a histogram: per leading count, how many have each later
+    split. An athlete takes part in a pair when one of its rows does, that is
+    when the most leading splits among its rows with the future split reach
+    the prefix; so each athlete is shuffled once, whatever its number of pairs."""
+    base = _leading(wide, splits)
+    held = is_holdout(F.col("athlete_id"))
+    later = lambda cols: F.inline(F.array(*[F.struct(F.lit(i).alias("t_idx"), c.alias("v")) for i, c in enumerate(cols)]))
+    prefixes = F.explode(F.sequence(F.lit(1), F.col("_L"))).alias("i")
+    rows = (base.groupBy(held.alias("holdout"), "_L").agg(*[F.count(F.col(f"`{s}`")).alias(f"c{i}") for i, s in enumerate(splits)])
+            .select("holdout", "_L", later([F.col(f"c{i}") for i in range(len(splits))]))
+            .select("holdout", "t_idx", F.col("v").alias("n"), F.lit(0).cast("long").alias("m"), prefixes))
+    athletes = (base.groupBy("athlete_id").agg(*[F.max(F.when(F.col(f"`{s}`").isNotNull(), F.col("_L"))).alias(f"c{i}") for i, s in enumerate(splits)])
+                .select(held.alias("holdout"), later([F.col(f"c{i}") for i in range(len(splits))])).filter("v is not null")
+                .groupBy("holdout", "t_idx", F.col("v").alias("_L")).agg(F.count(F.lit(1)).alias("m"))
+                .select("holdout", "t_idx", F.lit(0).cast("long").alias("n"), "m", prefixes))
+    total = lambda c, test: F.coalesce(F.sum(F.when(F.col("holdout") == test, F.col(c))), F.lit(0))
+    sums = rows.unionByName(athletes).groupBy("t_idx", (F.col("i") - 1).alias("p_idx")).agg(
+        total("n", False).alias("n_train"), total("n", True).alias("n_test"),
+        total("m", False).alias("n_athletes_train"), total("m", True).alias("n_athletes_test"))
+    found = ["n_train", "n_test", "n_athletes_train", "n_athletes_test"]
+    out = pair_df.select("pair_id", "t_idx", "p_idx").join(sums, ["t_idx", "p_idx"], "left").select(
+        "pair_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in found])
+    return (out.withColumn("n_complete", F.col("n_train") + F.col("n_test"))
+            .withColumn("trained", F.col("n_complete") >= min_samples))

@@ -75,11 +75,13 @@ class _Run:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return G.pair_counts(self.rows, self.min_samples)
+        """Complete rows of every pair, counted without expanding the grid."""
+        raise NotImplementedError
 
     @cached_property
     def trained(self) -> DataFrame:
-        return G.trained_rows(self.rows, self.min_samples)
+        """Rows of the pairs with enough of them (the pair table is bounded by the grid, n(n-1)/2 rows)."""
+        return self.rows.join(F.broadcast(self.counts.filter("trained").select("pair_id")), "pair_id", "left_semi")
 
 
 class InterpolationRun(_Run):
@@ -89,6 +91,10 @@ class InterpolationRun(_Run):
     def pairs(self) -> list[G.Pair]:
         return G.interp_pairs(self.splits)
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        return G.interp_counts(self.wide, self.splits, self.pair_df, self.min_samples)
+
     @cached_property
     def boost_rows(self) -> DataFrame:
         """Rows of every trained position for the boosters, checkpointed (fit and scoring read them)."""
@@ -161,6 +167,15 @@ class PredictionRun(_Run):
     def pairs(self) -> list[G.Pair]:
         return G.pred_pairs(self.splits)
 
+    @cached_property
+    def sizes(self) -> DataFrame:
+        """Rows and athletes of every pair, held out and not."""
+        return G.holdout_counts(self.wide, self.splits, self.pair_df, self.min_samples)
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return self.sizes.select("pair_id", "n_complete", "trained")
+
     @cached_property
     def predictions(self) -> DataFrame:
         return M.holdout_predict(self.trained)
@@ -184,11 +199,9 @@ class PredictionRun(_Run):
     @cached_property
     def report(self) -> DataFrame:
         """One row per trained pair."""
-        sizes = self.trained.groupBy("pair_id").agg(
-            F.count_if(~F.col("holdout")).alias("n_samples_train"),
-            F.count_if(F.col("holdout")).alias("n_samples_test"),
-            F.count_distinct(F.when(~F.col("holdout"), F.col("athlete_id"))).alias("n_atletas_train"),
-            F.count_distinct(F.when(F.col("holdout"), F.col("athlete_id"))).alias("n_atletas_test"))
+        sizes = self.sizes.filter("trained").select(
+            "pair_id", F.col("n_train").alias("n_samples_train"), F.col("n_test").alias("n_samples_test"),
+            F.col("n_athletes_train").alias("n_atletas_train"), F.col("n_athletes_test").alias("n_atletas_test"))
         p = self.pair_df.select("pair_id", F.col("prefix_joined").alias("input_splits"),
                                 F.col("target").alias("output_split"))
         g = self.gates.select("pair_id", F.col("mae").alias("mae_test"), F.col("approved").alias("validacion_aprobado"),

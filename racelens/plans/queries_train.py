@@ -101,12 +101,8 @@ def q_empty_splits(spark, sf):
 @query("athlete_holdout")
 def q_athlete_holdout(spark, sf):
     c = TCtx(spark, sf)
-    t = c.pred.trained
-    agg = t.groupBy("pair_id").agg(
-        F.count_if(~F.col("holdout")).alias("n_train"), F.count_if(F.col("holdout")).alias("n_test"),
-        F.count_distinct(F.when(~F.col("holdout"), F.col("athlete_id"))).alias("n_athletes_train"),
-        F.count_distinct(F.when(F.col("holdout"), F.col("athlete_id"))).alias("n_athletes_test"))
-    return _with_ids(c, c.pred, agg)
+    sizes = c.pred.sizes.filter("trained")
+    return _with_ids(c, c.pred, sizes.select("pair_id", "n_train", "n_test", "n_athletes_train", "n_athletes_test"))
 
 
 @query("kfold")
