@@ -1,6 +1,6 @@
 """Line dedup by a deletion-neighbourhood join (operator 6).
 
-A line is dropped if an earlier line, by (doc_id, place), is equal or lies
+A line is dropped if an earlier line, by (doc_id, row, place), is equal or lies
 within one edit (a character put in, left out or replaced), white space at its
 ends aside. Lines shorter than MIN_CHARS stay as they are: among those, one
 edit is another word.
@@ -19,12 +19,14 @@ one with it emits the variants of that piece alone. Which anchors are shared
 is counted over all lines. A bitmap of fixed size (BITMAP bits) of them goes
 with the tasks to skip most other lines; the exact join follows.
 
-Null doc_ids take no part and keep their lines; rows that repeat a doc_id are
-one document. A null text has no lines and stays null.
+Null doc_ids take no part and keep their lines; rows that repeat a doc_id and
+its text are one document, rows of one doc_id with different texts are several,
+ordered by the checksum of the text. A null text has no lines and stays null.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,33 +112,47 @@ def _finish(h: np.ndarray, length: int, place: int | np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))).astype(np.int64)
 
 
+LINE_SCHEMA = "h1 long, h2 long, doc_id long, row long, line int"
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = [(*_halves(line), doc, n) for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for n, line in eligible(text)]
+        rows = []
+        for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if text is not None:
+                row = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+                rows += [(*_halves(line), doc, row, n) for n, line in eligible(text)]
         if rows:
             c = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.int32())], names=["h1", "h2", "doc_id", "line"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.int32())], names=["h1", "h2", "doc_id", "row", "line"])
+
+
+def _distinct(b: pa.RecordBatch) -> set[str]:
+    return {line for text in b.column(1).to_pylist() for _, line in eligible(text)}
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = list({(a, _halves(line)[0]) for text in b.column(1).to_pylist() for _, line in eligible(text) for a, _, _ in anchors(line)})
-        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in rows], pa.int64()), pa.array([h for _, h in rows], pa.int64())], names=["anchor", "h"])
+        keys, hashes = [], []
+        for line in _distinct(b):
+            own = [a for a, _, _ in anchors(line)]
+            keys += own
+            hashes += [_halves(line)[0]] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hashes, pa.int64())], names=["anchor", "h"])
 
 
 def _candidates(bitmap: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = {}
-            for text in b.column(1).to_pylist():
-                for _, line in eligible(text):
-                    for a, start, end in anchors(line):
-                        bit = a % BITMAP
-                        if bitmap[bit >> 3] >> (bit & 7) & 1:
-                            rows[a, line] = (start, end)
+            rows = []
+            for line in _distinct(b):
+                near = [x for x in anchors(line) if bitmap[x[0] % BITMAP >> 3] >> (x[0] & 7) & 1]
+                if near:
+                    both = _halves(line)
+                    rows += [(*both, *x, line) for x in near]
             if rows:
-                halves = [_halves(line) for _, line in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in halves], pa.int64()), pa.array([y for _, y in halves], pa.int64()), pa.array([a for a, _ in rows], pa.int64()), pa.array([x for x, _ in rows.values()], pa.int32()), pa.array([y for _, y in rows.values()], pa.int32()), pa.array([line for _, line in rows], pa.string())], names=["h1", "h2", "anchor", "start", "end", "text"])
+                c = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:3]), pa.array(c[3], pa.int32()), pa.array(c[4], pa.int32()), pa.array(c[5], pa.string())], names=["h1", "h2", "anchor", "start", "end", "text"])
 
     return run
 
@@ -169,7 +185,7 @@ def _near(spark: SparkSession, docs: DataFrame, classes: DataFrame) -> DataFrame
     found = docs.mapInArrow(_candidates(_bitmap(live)), "h1 long, h2 long, anchor long, start int, end int, text string")
     found = found.dropDuplicates(["h1", "h2", "anchor"]).join(live, "anchor", "left_semi")
     found = shared(spark, found, "line-candidates")
-    first = F.struct("doc_id", "line", "h1", "h2")
+    first = F.struct("doc_id", "row", "line", "h1", "h2")
     texts = found.dropDuplicates(["h1", "h2"]).select("h1", "h2", "text").join(classes, ["h1", "h2"])
     texts = shared(spark, texts.select("h1", "h2", "text", first.alias("first")), "line-texts")
     keys = found.select("h1", "h2", "start", "end", "text").mapInArrow(_variant_rows, "h1 long, h2 long, key long, own boolean").distinct()
@@ -202,20 +218,21 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """All columns of `documents` with the remaining lines as text, and the count n_dropped.
 
-    Columns of the input named _id, _gone or n_dropped are left out.
+    Columns of the input named _id, _row, _gone or n_dropped are left out.
     """
-    documents = documents.drop("_id", "_gone", "n_dropped").withColumn("text", F.col("text").cast("string"))
+    documents = documents.drop("_id", "_row", "_gone", "n_dropped").withColumn("text", F.col("text").cast("string"))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    lines = shared(spark, docs.mapInArrow(_lines, "h1 long, h2 long, doc_id long, line int"), "lines")
-    at = F.min(F.struct("doc_id", "line")).alias("at")
-    classes = lines.groupBy("h1", "h2").agg(at, F.max(F.struct("doc_id", "line")).alias("last"))
-    classes = shared(spark, classes.select("h1", "h2", "at.doc_id", "at.line", (F.col("at") < F.col("last")).alias("copies")), "line-classes")
+    lines = shared(spark, docs.mapInArrow(_lines, LINE_SCHEMA), "lines")
+    place = F.struct("doc_id", "row", "line")
+    classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.max(place).alias("last"))
+    classes = shared(spark, classes.select("h1", "h2", "at.doc_id", "at.row", "at.line", (F.col("at") < F.col("last")).alias("copies")), "line-classes")
     near = _near(spark, docs, classes.drop("copies"))
     marked = classes.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("copies or near")
-    marked = marked.select("h1", "h2", F.struct("doc_id", "line").alias("at"), F.coalesce("near", F.lit(False)).alias("near"))
-    gone = lines.join(marked, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "line") > F.col("at")))
-    gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_gone"))
-    rows = documents.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
+    marked = marked.select("h1", "h2", place.alias("at"), F.coalesce("near", F.lit(False)).alias("near"))
+    gone = lines.join(marked, ["h1", "h2"]).where(F.col("near") | (place > F.col("at")))
+    gone = gone.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_set("line").alias("_gone"))
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (F.crc32(F.col("text").cast("binary")) == F.col("_row"))
+    rows = documents.join(gone.hint("merge"), same, "left").drop("_id", "_row")
     out = rows.mapInArrow(_without, rows.schema)
     return out.withColumn("n_dropped", F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long")).drop("_gone")
 

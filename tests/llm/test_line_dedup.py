@@ -74,3 +74,13 @@ def test_shared_variants_and_edge_rows(spark, docs):
     got = sorted((r.line, r.text, r.n_dropped) for r in D.dedup_lines(spark, d).collect())
     assert got == [(1, numbered[0], 0), (2, numbered[0], 0), (3, numbered[0], 0), (4, None, 0), (5, "", 1)]
     assert D.dedup_lines(spark, d.limit(0)).count() == 0
+
+
+def test_one_id_with_different_texts(spark):
+    a, b = "a sentence that no other row has at all", "the second line that both rows have here"
+    c = "something quite different in its first line"
+    d = spark.createDataFrame([(1, f"{a}\n{b}"), (1, f"{c}\n{b}"), (1, f"{c}\n{b}"), (2, f"{c}\n{a}\nx")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r.n_dropped) for r in D.dedup_lines(spark, d).collect())
+    assert sum(n for _, _, n in got) in (3, 4)  # the later of both rows loses b; where that is the repeated row, twice
+    assert [t for i, t, _ in got if i == 2] == ["x"]
+    assert any(t.startswith(a) for _, t, _ in got) and any(t.startswith(c) for _, t, _ in got)
