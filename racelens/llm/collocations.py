@@ -18,6 +18,14 @@ across shards, and only phrases that reach the least count over all of them
 are extended further. So every count is exact, and what is shuffled shrinks
 with the length.
 
+Counts travel as packed lists: a shard deals its phrases out to buckets by a
+hash of their two parts and sends one compressed list a bucket. There are as
+many buckets as shards of full size in the text, a phrase stands at most once
+in a shard, so a bucket's lists hold about one shard's words at any size. Back
+to a shard go only places in its own lists and the new ids; the intervals stay
+in one row of the shard. With very many shards the lists get short, down to
+one phrase each.
+
 Each level is written to the shared folder and read from there. Phrases are
 named by the ids of their two parts; the frequent ones carry the counts of
 their prefixes and suffixes along, which are the l and r of their cuts, and
@@ -68,6 +76,25 @@ def unpack_ids(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
+def pack_longs(*columns: np.ndarray) -> bytes:
+    """Equally long columns of longs as byte planes, compressed."""
+    table = np.ascontiguousarray(np.stack(columns).astype("<i8")).view(np.uint8)
+    planes = table.reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    return zstd.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def unpack_longs(blob: bytes, columns: int) -> np.ndarray:
+    planes = np.frombuffer(zstd.ZstdDecompressor().decompress(blob), np.uint8).reshape(columns, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8").reshape(columns, -1).astype(np.int64)
+
+
+def bucket_of(p: np.ndarray, s: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a phrase, by a hash of the ids of its parts."""
+    h = (p.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + s.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((h ^ (h >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
+
+
 # ------------------------------------------------------------------ shards
 
 class _Shard(dict):
@@ -173,15 +200,56 @@ def extend(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, n: np.ndarray, id
     return ids[at[keep]], ids[owner[first[keep]]], counts[keep], new_lo[keep], new_other[keep]
 
 
-STEP_SCHEMA = pa.schema([("shard", pa.int64()), ("ahead", pa.binary()), ("back", pa.binary()), ("p", pa.int64()), ("s", pa.int64()), ("n", pa.int64()), ("lo", pa.int64()), ("rlo", pa.int64())])
-STEP_COLUMNS = "shard long, ahead binary, back binary, p long, s long, n long, lo long, rlo long"
-
-
-def _phrase_rows(shard: int, p: np.ndarray, s: np.ndarray, n: np.ndarray, lo: np.ndarray, rlo: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(p), ROWS):
-        part = [pa.array(x[i : i + ROWS], pa.int64()) for x in (p, s, n, lo, rlo)]
-        k = len(part[0])
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, shard), pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), *part], schema=STEP_SCHEMA)
+#: per shard a row with its index, one with the intervals of its phrases, and one a bucket with the phrases dealt to it
+STEP_SCHEMA = pa.schema([("shard", pa.int64()), ("ahead", pa.binary()), ("back", pa.binary()), ("starts", pa.binary()), ("places", pa.binary()), ("bucket", pa.int64()), ("pairs", pa.binary())])
+STEP_COLUMNS = "shard long, ahead binary, back binary, starts binary, places binary, bucket long, pairs binary"
+LISTS = 4_096
+
+
+def _phrase_rows(shard: int, buckets: int, p: np.ndarray, s: np.ndarray, n: np.ndarray, lo: np.ndarray, rlo: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(p):
+        return
+    at = bucket_of(p, s, buckets)
+    by = np.lexsort((lo, at))
+    at, p, s, n, lo, rlo = (x[by] for x in (at, p, s, n, lo, rlo))
+    starts = np.flatnonzero(np.diff(at, prepend=-1))
+    yield pa.RecordBatch.from_pylist([{"shard": shard, "starts": pack_longs(at[starts], starts), "places": pack_longs(np.diff(lo, prepend=0), rlo, n)}], STEP_SCHEMA)
+    ends = np.append(starts[1:], len(at))
+    for i in range(0, len(starts), LISTS):
+        lists = [pack_longs(p[x:y], s[x:y], n[x:y]) for x, y in zip(starts[i : i + LISTS], ends[i : i + LISTS], strict=True)]
+        k = len(lists)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, shard), pa.int64()), *(pa.nulls(k, pa.binary()) for _ in range(4)), pa.array(at[starts[i : i + LISTS]]), pa.array(lists, pa.binary())], schema=STEP_SCHEMA)
+
+
+MERGED_SCHEMA = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("found", pa.binary()), ("id", pa.int64()), ("p", pa.int64()), ("s", pa.int64()), ("a", pa.int64())])
+MERGED_COLUMNS = "shard long, bucket long, found binary, id long, p long, s long, a long"
+
+
+def _merge(lists: pa.Table, least: int) -> pa.Table:
+    """The frequent phrases of a bucket (id, p, s, a) and, per shard that has any, their places in its list and their ids."""
+    bucket, shards = lists.column("bucket")[0].as_py(), lists.column("shard").to_pylist()
+    parts = [unpack_longs(x.as_py(), 3) for x in lists.column("pairs")]
+    p, s, n = np.concatenate(parts, axis=1)
+    order = np.lexsort((s, p))
+    p, s = p[order], s[order]
+    new = np.concatenate([[True], (np.diff(p) != 0) | (np.diff(s) != 0)])
+    first = np.flatnonzero(new)
+    a = np.add.reduceat(n[order], first)
+    keep = a >= least
+    ids = np.where(keep, (bucket << 32) + np.cumsum(keep) - 1, -1)
+    each = np.empty(len(p), np.int64)
+    each[order] = ids[np.cumsum(new) - 1]
+    k = int(keep.sum())
+    out = [pa.RecordBatch.from_arrays([*(pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.binary())), *(pa.array(x[keep]) for x in (ids, p[first], s[first], a))], schema=MERGED_SCHEMA)]
+    rows, begin = [], 0
+    for shard, part in zip(shards, parts, strict=True):
+        own = each[begin : begin + part.shape[1]]
+        begin += part.shape[1]
+        at = np.flatnonzero(own >= 0)
+        if len(at):
+            rows.append({"shard": shard, "bucket": bucket, "found": pack_longs(at, own[at])})
+    out.append(pa.RecordBatch.from_pylist(rows, MERGED_SCHEMA))
+    return pa.Table.from_batches(out, MERGED_SCHEMA)
 
 
 def _columns(found: pa.Array, names: list[str]) -> list[np.ndarray]:
@@ -190,7 +258,7 @@ def _columns(found: pa.Array, names: list[str]) -> list[np.ndarray]:
     return [flat.field(x).to_numpy(zero_copy_only=False) for x in names]
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Index of each shard (one row), and its bigrams of frequent words."""
     for b in batches:
         for i in range(b.num_rows):
@@ -210,21 +278,30 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo, n = words_of(ahead)
             lo, n = lo[1:], n[1:]
             p, s, n, lo, rlo = extend(ahead, lo, lo, n, names[by])
-            yield from _phrase_rows(shard, p, s, n, lo, rlo)
+            yield from _phrase_rows(shard, buckets, p, s, n, lo, rlo)
 
 
-def _longer(batches: Iterator[pa.RecordBatch], left: bool) -> Iterator[pa.RecordBatch]:
+def _longer(batches: Iterator[pa.RecordBatch], left: bool, buckets: int) -> Iterator[pa.RecordBatch]:
     """The phrases of each shard, one word longer than those given."""
     for b in batches:
         for i in range(b.num_rows):
             row = b.slice(i, 1)
             shard, bwt = row.column(0)[0].as_py(), unpack_ids(row.column(1)[0].as_py())
-            names, n, lo, rlo = _columns(row.column(2), ["id", "n", "lo", "rlo"])
+            at, starts = unpack_longs(row.column(2)[0].as_py(), 2)
+            lo, rlo, n = unpack_longs(row.column(3)[0].as_py(), 3)
+            lo = np.cumsum(lo)
+            places, ids = [], []
+            for hit in row.column(4)[0]:
+                place, found = unpack_longs(hit["found"].as_py(), 2)
+                places.append(place + starts[np.searchsorted(at, hit["bucket"].as_py())])
+                ids.append(found)
+            place, names = np.concatenate(places), np.concatenate(ids)
+            lo, rlo, n = lo[place], rlo[place], n[place]
             if left:
                 p, s, n, lo, rlo = extend(bwt, lo, rlo, n, names)
             else:
                 s, p, n, rlo, lo = extend(bwt, rlo, lo, n, names)
-            yield from _phrase_rows(shard, p, s, n, lo, rlo)
+            yield from _phrase_rows(shard, buckets, p, s, n, lo, rlo)
 
 
 # --------------------------------------------------------------- all shards
@@ -246,21 +323,24 @@ def phrases(spark: SparkSession, documents: DataFrame, least: int = LEAST, depth
     levels = [shared(spark, level, "phrases-1")]
     back = found.join(levels[0].select("id", "lang", F.col("phrase").alias("word")), ["lang", "word"])
     back = back.groupBy("shard").agg(F.collect_list(F.struct("idx", "id")).alias("found"))  # words of one shard
-    step = made.where("ids is not null").select("shard", "ids").join(back, "shard").mapInArrow(_index, STEP_COLUMNS)
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, -(-words // shard_words))
+    step = made.where("ids is not null").select("shard", "ids").join(back, "shard").mapInArrow(lambda b: _index(b, buckets), STEP_COLUMNS)
     step = index = shared(spark, step, "phrases-index")
     for m in range(2, depth + 1):
-        new = step.where("p is not null")
-        sums = new.groupBy("p", "s").agg(F.sum("n").alias("a")).where(a >= least)
+        merged = step.where("pairs is not null").select("shard", "bucket", "pairs").groupBy("bucket").applyInArrow(lambda t: _merge(t, least), MERGED_COLUMNS)
+        merged = shared(spark, merged, "phrases-merged")
         first = levels[-1].select(F.col("id").alias("p"), "lang", F.col("phrase").alias("begin"), "pre")
         rest = levels[-1].select(F.col("id").alias("s"), "last", "suf")
-        level = sums.join(first, "p").join(rest, "s")
-        level = level.select(F.monotonically_increasing_id().alias("id"), "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "a", F.concat("pre", F.array("a")).alias("pre"), F.concat("suf", F.array("a")).alias("suf"), "p", "s")
+        level = merged.where("id is not null").select("id", "p", "s", "a").join(first, "p").join(rest, "s")
+        level = level.select("id", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "a", F.concat("pre", F.array("a")).alias("pre"), F.concat("suf", F.array("a")).alias("suf"), "p", "s")
         levels.append(shared(spark, level, f"phrases-{m}"))
         if m < depth:
             left = m % 2 == 1
-            back = new.join(levels[-1].select("id", "p", "s"), ["p", "s"]).groupBy("shard").agg(F.collect_list(F.struct("id", "n", "lo", "rlo")).alias("found"))
-            side = index.where("ahead is not null").select("shard", "ahead" if left else "back")
-            step = shared(spark, side.join(back, "shard").mapInArrow(lambda b, left=left: _longer(b, left), STEP_COLUMNS), "phrases-step")
+            back = merged.where("found is not null").groupBy("shard").agg(F.collect_list(F.struct("bucket", "found")).alias("hits"))  # lists of one shard
+            side = index.where("ahead is not null").select("shard", F.col("ahead" if left else "back").alias("bwt"))
+            side = side.join(step.where("places is not null").select("shard", "starts", "places"), "shard").join(back, "shard")
+            step = shared(spark, side.mapInArrow(lambda b, left=left: _longer(b, left, buckets), STEP_COLUMNS), "phrases-step")
     return totals, levels
 
 

@@ -102,3 +102,30 @@ def test_index():
 def test_packed_ids():
     for ids in (np.zeros(0, int), np.array([0, 1, 2**32 - 1]), np.arange(100_000)):
         assert (C.unpack_ids(C.pack_ids(ids)) == ids).all()
+
+
+def test_packed_longs_and_buckets():
+    rng = np.random.default_rng(2)
+    for k in (0, 1, 5_000):
+        a, b = rng.integers(-2**62, 2**62, k), np.arange(k)
+        x, y = C.unpack_longs(C.pack_longs(a, b), 2)
+        assert (x == a).all() and (y == b).all()
+    at = C.bucket_of(np.repeat(np.arange(300), 300) << 33, np.tile(np.arange(300), 300) << 33, 90)
+    sizes = np.bincount(at, minlength=90)
+    assert len(sizes) == 90 and sizes.max() < 2 * sizes.mean()
+
+
+def test_merge():
+    """Counts added over shards, and the way back to each shard's own list."""
+    import pyarrow as pa
+    lists = {7: ([1, 3, 2], [5, 5, 9], [60, 99, 1]), 8: ([2, 1], [9, 5], [99, 40])}
+    t = pa.table({"shard": list(lists), "bucket": [3, 3], "pairs": [C.pack_longs(*map(np.array, x)) for x in lists.values()]})
+    rows = C._merge(t, 100).to_pylist()
+    known = {r["id"]: (r["p"], r["s"], r["a"]) for r in rows if r["id"] is not None}
+    assert sorted(known.values()) == [(1, 5, 100), (2, 9, 100)]
+    for r in rows:
+        if r["found"] is not None:
+            p, s, _ = lists[r["shard"]]
+            assert [(p[i], s[i]) for i in C.unpack_longs(r["found"], 2)[0]] == [known[x][:2] for x in C.unpack_longs(r["found"], 2)[1]]
+    assert sorted(r["shard"] for r in rows if r["found"] is not None) == [7, 8]
+    assert sorted(r["id"] is None for r in C._merge(t, 1000).to_pylist()) == []
