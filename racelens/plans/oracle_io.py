@@ -83,6 +83,15 @@ oracle("latest_manifest", tsql(_JOB.format(
                      "splits_interpolados, CAST(p.imp AS INTEGER) AS splits_imposibles"),
     "req_valid", "plan", "selection"))
 
+oracle("reuse_if_exists", tsql("""
+SELECT s.source_table AS table_name, false AS reused_first, true AS reused_second, f.race_id, count(*) AS n_rows
+FROM (SELECT DISTINCT k.source_table, x.race_id, x.event_id
+      FROM (SELECT req_key, 'temp_wide_' || substr(md5(string_agg(split, '_' ORDER BY split)), 1, 8) AS source_table
+            FROM plan WHERE kind <> 'impossible' GROUP BY req_key) k
+      JOIN selection x ON k.req_key = x.req_key) s
+JOIN (SELECT DISTINCT finisher_id, race_id, event_id FROM race_long) f ON f.race_id = s.race_id AND f.event_id = s.event_id
+GROUP BY s.source_table, f.race_id""", "plan", "selection", "race_long"))
+
 oracle("recursive_load", tsql("""
 SELECT finisher_id, athlete_id, event_std, gender, age,
        split || CASE WHEN TRY_CAST(string_split(race_id, '-')[-1] AS INTEGER) % 2 = 1 THEN '_0' ELSE '' END AS split, secs

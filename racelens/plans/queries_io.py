@@ -21,6 +21,7 @@ from racelens.session import scratch_path
 from racelens.sources import catalog as C
 from racelens.sources import fixtures as X
 from racelens.sources import manifests as MF
+from racelens.sources import reuse as R
 from racelens.sources import wide as W
 
 RUN_TS = "20260303-085722"
@@ -75,16 +76,29 @@ def q_partition_select(spark, sf):
 
 @query("reuse_if_exists")
 def q_reuse_if_exists(spark, sf):
-    """The source table of a split set is registered once, then reused."""
+    """The source table of every split set, with the editions that its requests chose, is written once, then reused."""
     c = Ctx(spark, sf)
-    name = T.schema_fingerprint(c.plan).filter(F.col("req_key") == "b4-0").first()["source_table"]
-    table = f"{name}_{scratch_path(spark, 't').split('-')[-1]}"
-    path = scratch_path(spark, "reuse")
-    first = MF.save_if_absent(spark, c.wide.select("finisher_id", "race_id", "event_id"), table, path)
-    second = MF.save_if_absent(spark, c.wide.select("finisher_id", "race_id", "event_id"), table, path)
-    return (spark.table(table).groupBy("race_id").agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(F.lit(table).alias("table_name"), F.lit(first).alias("reused_first"),
-                    F.lit(second).alias("reused_second"), "race_id", "n_rows"))
+    # name and columns of a set; the same set is the same table, whichever request asks
+    sets = T.schema_fingerprint(c.plan).join(
+        c.plan.filter(F.col("kind") != KIND_IMPOSSIBLE).groupBy("req_key")
+        .agg(F.array_sort(F.collect_set("split")).alias("columns")), "req_key")
+    editions = sets.join(c.selection.select("req_key", "race_id", "event_id"), "req_key").groupBy("source_table", "columns").agg(
+        F.array_sort(F.collect_set(F.struct("race_id", "event_id"))).alias("editions"))
+    state = R.snapshot(spark, c.stored)
+    names = F.concat("columns", F.transform("editions", lambda e: F.concat_ws("/", e["race_id"], e["event_id"])))
+    sets = editions.select(R.address(F.col("source_table"), names, state).alias("address"),
+                           F.col("source_table").alias("table_name"), "editions").checkpoint()
+    chosen = sets.select("address", F.inline("editions"))
+    base = scratch_path(spark, "source-tables")
+    rows = W.read_declared(spark, c.stored, [], c.chosen_pairs).select("finisher_id", "race_id", "event_id")
+    rows = rows.join(chosen, ["race_id", "event_id"])
+    first = R.reuse_or_write(spark, base, sets, rows)
+    second = R.reuse_or_write(spark, base, sets, rows)
+    flags = first.select("address", F.col("reused").alias("reused_first")).join(
+        second.select("address", F.col("reused").alias("reused_second")), "address")
+    back = R.read_tables(spark, base, "finisher_id long, race_id string, event_id string")
+    counts = back.groupBy("address", "table_name", "race_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(flags, "address").select("table_name", "reused_first", "reused_second", "race_id", "n_rows")
 
 
 @query("training_table_write")
