@@ -39,6 +39,8 @@ read; repeated rows count each. Languages without a candidate give no rows.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +56,7 @@ SHARD_WORDS = 2_000_000
 DEPTH = 5
 LEAST = 100
 TOP = 2_000
-ROWS = 200_000
+LISTS = 4_096
 
 _END = b"\xff"  # stands in no UTF-8 text
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
@@ -95,6 +97,14 @@ def bucket_of(p: np.ndarray, s: np.ndarray, buckets: int) -> np.ndarray:
     return ((h ^ (h >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
 
 
+def pack_words(words: list[bytes]) -> bytes:
+    return zstd.ZstdCompressor(level=3).compress(b" ".join(words))
+
+
+def unpack_words(blob: bytes) -> list[bytes]:
+    return zstd.ZstdDecompressor().decompress(blob).split(b" ")
+
+
 # ------------------------------------------------------------------ shards
 
 class _Shard(dict):
@@ -114,12 +124,12 @@ class _Shard(dict):
             self.size += len(found)
 
 
-TEXT_SCHEMA = "lang string, shard long, ids binary, idx int, word binary, n long"
+TEXT_SCHEMA = "lang string, shard long, ids binary, words binary, counts binary, n long"
 
 
 def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """One row with the ids of each shard, then one a word with its count. The open shards of a task hold `size` words together."""
-    schema = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("ids", pa.binary()), ("idx", pa.int32()), ("word", pa.binary()), ("n", pa.int64())])
+    """One row a shard: its ids, its words in order of id with their counts, and their number. The open shards of a task hold `size` words together."""
+    schema = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("ids", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()), ("n", pa.int64())])
     context = TaskContext.get()
     number = (context.partitionId() if context else 0) << 24
     open_shards: dict[str, _Shard] = {}
@@ -129,12 +139,8 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         shard = open_shards.pop(lang)
         number += 1
         ids = np.concatenate(shard.chunks)
-        yield pa.RecordBatch.from_pylist([{"lang": lang, "shard": number, "ids": pack_ids(ids)}], schema)
-        counts, listed = np.bincount(ids, minlength=len(shard)), list(shard)
-        for i in range(1, len(listed), ROWS):
-            part = listed[i : i + ROWS]
-            k = len(part)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * k), pa.array([number] * k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(i, i + k), pa.int32()), pa.array(part, pa.binary()), pa.array(counts[i : i + k], pa.int64())], schema=schema)
+        counts = np.bincount(ids, minlength=len(shard))[1:]
+        yield pa.RecordBatch.from_pylist([{"lang": lang, "shard": number, "ids": pack_ids(ids), "words": pack_words(list(shard)[1:]), "counts": pack_longs(counts), "n": int(counts.sum())}], schema)
 
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -148,6 +154,52 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             yield from flush(lang)
 
 
+DEALT_COLUMNS = "lang string, shard long, bucket long, words binary, counts binary"
+
+
+def _deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The words of each shard (ids from 1) as one list a bucket, by a checksum of lang and word."""
+    names = ["lang", "shard", "bucket", "words", "counts"]
+    for b in batches:
+        for lang, shard, words, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            words, (counts,) = unpack_words(words), unpack_longs(counts, 1)
+            begin = zlib.crc32(lang.encode("utf-8", "surrogatepass") + b" ")
+            at = np.fromiter((zlib.crc32(w, begin) for w in words), np.int64, len(words)) % buckets
+            by = np.argsort(at, kind="stable")
+            starts = np.flatnonzero(np.diff(at[by], prepend=-1))
+            lists = [by[x:y] for x, y in zip(starts, [*starts[1:], len(by)], strict=True)]
+            for i in range(0, len(lists), LISTS):
+                part = lists[i : i + LISTS]
+                k = len(part)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * k), pa.array([shard] * k, pa.int64()), pa.array([int(at[x[0]]) for x in part], pa.int64()), pa.array([pack_words([words[w] for w in x]) for x in part], pa.binary()), pa.array([pack_longs(x + 1, counts[x]) for x in part], pa.binary())], names=names)
+
+
+WORD_SCHEMA = pa.schema([("shard", pa.int64()), ("found", pa.binary()), ("id", pa.int64()), ("lang", pa.string()), ("word", pa.binary()), ("a", pa.int64())])
+WORD_COLUMNS = "shard long, found binary, id long, lang string, word binary, a long"
+
+
+def _merge_words(lists: pa.Table, least: int) -> pa.Table:
+    """The frequent words of a bucket (id, lang, word, a) and, per shard that has any, its own ids of them and these."""
+    bucket = lists.column("bucket")[0].as_py()
+    rows = [lists.column(x).to_pylist() for x in ("lang", "shard", "words", "counts")]
+    total: dict[str, Counter] = {}
+    for lang, _, words, counts in zip(*rows, strict=True):
+        sums = total.setdefault(lang, Counter())
+        for word, n in zip(unpack_words(words), unpack_longs(counts, 2)[1].tolist(), strict=True):
+            sums[word] += n
+    known = {}
+    out = []
+    for lang, sums in sorted(total.items()):
+        for word in sorted(w for w, n in sums.items() if n >= least):
+            known[lang, word] = (bucket << 32) + len(known)
+            out.append({"id": known[lang, word], "lang": lang, "word": word, "a": sums[word]})
+    for lang, shard, words, counts in zip(*rows, strict=True):
+        ids = np.array([known.get((lang, w), -1) for w in unpack_words(words)], np.int64)
+        if (ids >= 0).any():
+            out.append({"shard": shard, "found": pack_longs(unpack_longs(counts, 2)[0][ids >= 0], ids[ids >= 0])})
+    return pa.Table.from_pylist(out, WORD_SCHEMA)
+
+
 # ------------------------------------------------------------------- index
 
 def transform(ids: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -203,7 +255,6 @@ def extend(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, n: np.ndarray, id
 #: per shard a row with its index, one with the intervals of its phrases, and one a bucket with the phrases dealt to it
 STEP_SCHEMA = pa.schema([("shard", pa.int64()), ("ahead", pa.binary()), ("back", pa.binary()), ("starts", pa.binary()), ("places", pa.binary()), ("bucket", pa.int64()), ("pairs", pa.binary())])
 STEP_COLUMNS = "shard long, ahead binary, back binary, starts binary, places binary, bucket long, pairs binary"
-LISTS = 4_096
 
 
 def _phrase_rows(shard: int, buckets: int, p: np.ndarray, s: np.ndarray, n: np.ndarray, lo: np.ndarray, rlo: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -252,19 +303,13 @@ def _merge(lists: pa.Table, least: int) -> pa.Table:
     return pa.Table.from_batches(out, MERGED_SCHEMA)
 
 
-def _columns(found: pa.Array, names: list[str]) -> list[np.ndarray]:
-    """Columns of one row's list of structs."""
-    flat = found.flatten()
-    return [flat.field(x).to_numpy(zero_copy_only=False) for x in names]
-
-
 def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Index of each shard (one row), and its bigrams of frequent words."""
     for b in batches:
         for i in range(b.num_rows):
             row = b.slice(i, 1)
             shard, ids = row.column(0)[0].as_py(), unpack_ids(row.column(1)[0].as_py())
-            idx, names = _columns(row.column(2), ["idx", "id"])
+            idx, names = np.concatenate([unpack_longs(x["found"].as_py(), 2) for x in row.column(2)[0]], axis=1)
             counts = np.bincount(ids, minlength=int(idx.max()) + 1)
             by = np.argsort(-counts[idx], kind="stable")  # small numbers for frequent words
             table = np.zeros(len(counts), np.int64)
@@ -315,16 +360,14 @@ def phrases(spark: SparkSession, documents: DataFrame, least: int = LEAST, depth
     """
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     made = shared(spark, texts.mapInArrow(lambda b: _shards(b, shard_words), TEXT_SCHEMA), "phrases-shards")
-    found = made.where("word is not null").select("lang", "shard", "idx", F.col("word").cast("string").alias("word"), "n")
-    totals = found.groupBy("lang").agg(F.sum("n").alias("n"))
-    a = F.col("a")
-    level = found.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(a >= least)
-    level = level.select(F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", F.array("a").alias("pre"), F.array("a").alias("suf"), F.lit(None).cast("long").alias("p"), F.lit(None).cast("long").alias("s"))
-    levels = [shared(spark, level, "phrases-1")]
-    back = found.join(levels[0].select("id", "lang", F.col("phrase").alias("word")), ["lang", "word"])
-    back = back.groupBy("shard").agg(F.collect_list(F.struct("idx", "id")).alias("found"))  # words of one shard
+    totals = made.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     words = totals.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-words // shard_words))
+    dealt = made.where("n > 0").select("lang", "shard", "words", "counts").mapInArrow(lambda b: _deal(b, buckets), DEALT_COLUMNS)
+    found = shared(spark, dealt.groupBy("bucket").applyInArrow(lambda t: _merge_words(t, least), WORD_COLUMNS), "phrases-words")
+    level = found.where("id is not null").select("id", "lang", F.col("word").cast("string").alias("phrase"), F.col("word").cast("string").alias("last"), "a", F.array("a").alias("pre"), F.array("a").alias("suf"), F.lit(None).cast("long").alias("p"), F.lit(None).cast("long").alias("s"))
+    levels = [shared(spark, level, "phrases-1")]
+    back = found.where("found is not null").groupBy("shard").agg(F.collect_list(F.struct("found")).alias("found"))  # lists of one shard
     step = made.where("ids is not null").select("shard", "ids").join(back, "shard").mapInArrow(lambda b: _index(b, buckets), STEP_COLUMNS)
     step = index = shared(spark, step, "phrases-index")
     for m in range(2, depth + 1):
