@@ -59,7 +59,7 @@ def training_table_job(spark: SparkSession, wide: DataFrame, catalog: DataFrame,
 
 def interpolation_job(spark: SparkSession, wide: DataFrame, out_dir: str, quantile_mode: str = "bracket") -> dict:
     ensure_checkpoint_dir(spark)
-    run = InterpolationRun(wide, quantile_mode=quantile_mode).materialize()
+    run = InterpolationRun(wide.checkpoint(), quantile_mode=quantile_mode)
     ev = run.evaluation.checkpoint()
     MF.write_csv(ev.select("model_id", "target", "position", F.col("mae_folds_mean").alias("mae"),
                            F.col("mae_folds_std").alias("mae_std"), F.col("n").alias("n_samples"), "score",
@@ -73,7 +73,7 @@ def interpolation_job(spark: SparkSession, wide: DataFrame, out_dir: str, quanti
 
 def prediction_job(spark: SparkSession, wide: DataFrame, out_dir: str, quantile_mode: str = "bracket") -> dict:
     ensure_checkpoint_dir(spark)
-    run = PredictionRun(wide, quantile_mode=quantile_mode).materialize()
+    run = PredictionRun(wide.checkpoint(), quantile_mode=quantile_mode)
     report = run.report.checkpoint()
     MF.write_csv(report, f"{out_dir}/metricas_prediccion")
     stats = P.validation_stats_pred(run.gates).first().asDict()

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from racelens.operators.quantiles import exact_quantiles
+
 # --- fixed values of the gate -----------------------------------------------
 CV_MAX = 0.5                 # level 2 passes when CV <= 0.5
 RATIO_MAX = 3.0              # level 3 passes when p95 / p50 <= 3.0
@@ -28,62 +30,52 @@ ERROR_PERCENTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 # ----------------------------------------------------------------------------
 
 
-def _pct(c: Column, probs, exact, accuracy: int = 100_000) -> Column:
-    if exact is True or exact == "exact":
-        return F.percentile(c, list(probs))
-    if exact == "bracket":      # filled in by _with_quantiles
-        return F.lit(None).cast("array<double>")
-    return F.percentile_approx(c, list(probs), accuracy)
+def _aggregated(df: DataFrame, keys: list[str], aggs: list[Column], specs, mode) -> DataFrame:
+    """keys..., the aggregates and per spec (name, column, probabilities) an array of quantiles."""
+    if mode == "bracket":
+        return exact_quantiles(df, keys, specs, aggs)
+    pct = F.percentile if mode == "exact" else F.percentile_approx
+    return df.groupBy(*keys).agg(*aggs, *[pct(F.col(c), list(probs)).alias(name) for name, c, probs in specs])
+
 
+def summaries(pred: DataFrame, keys=("pair_id",), exact="exact") -> DataFrame:
+    """What E1 and the gate need, per group, in one run over the errors: ``pred`` is read
+    once for the mean and then by the quantile run, so materialise it first."""
+    keys = list(keys)
+    means = pred.groupBy(*keys).agg(F.avg("y").alias("mean_y"))
+    e = F.col("y") - F.col("pred")
+    df = pred.join(F.broadcast(means), keys).select(
+        *keys, "y", e.alias("e"), F.abs(e).alias("ae"), F.abs(F.col("y") - F.col("mean_y")).alias("ane"),
+        (F.abs(e / (F.col("y") + F.lit(REL_EPS))) * 100).alias("rel"))
+    mse = F.avg(F.col("e") * F.col("e"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg("ae").alias("mae"), F.avg("ane").alias("mae_naive"), F.sqrt(mse).alias("rmse"),
+            F.when(F.var_pop("y") > 0, 1 - mse / F.var_pop("y")).alias("r2"), F.max("ae").alias("max_error"),
+            F.min("ae").alias("min_error"), F.stddev_pop("ae").alias("std_error"), F.avg("rel").alias("mape")]
+    return _aggregated(df, keys, aggs, [("errors", "ae", list(ERROR_PERCENTILES)), ("relative", "rel", [0.5, 0.95])], exact)
+
+
+def metrics_of(s: DataFrame, keys=("pair_id",)) -> DataFrame:
+    """E1 from the summaries: n, mae, rmse, r2, max, min, std, percentiles of |e|,
+    mape, median and p95 relative error (%)."""
+    names = ["q1_error", "median_error", "q3_error", "p90_error", "p95_error", "p99_error"]
+    return s.select(*keys, "n", "mae", "rmse", "r2", "max_error", "min_error", "std_error",
+                    *[F.col("errors")[i].alias(n) for i, n in enumerate(names)], "mape",
+                    F.col("relative")[0].alias("median_rel_error"), F.col("relative")[1].alias("p95_rel_error"))
 
-def _with_quantiles(agg: DataFrame, df: DataFrame, keys, specs, mode) -> DataFrame:
-    """Attach per-group quantile arrays. ``specs``: (name, value column, probs).
 
-    'exact'/'approx' were computed inline in ``agg``; 'bracket' computes them
-    with bounded memory per group and joins the grid-sized result back."""
-    if mode != "bracket":
-        return agg
-    from racelens.operators.quantiles import grouped_quantiles
-    for name, col, probs in specs:
-        q = grouped_quantiles(df, list(keys), col, list(probs), "bracket")
-        q = q.select(*keys, F.array(*[F.col(f"q{i}") for i in range(len(probs))]).alias(name))
-        agg = agg.drop(name).join(q, list(keys))
-    return agg
+def gate_of(s: DataFrame, keys=("pair_id",)) -> DataFrame:
+    """E3-E6 from the summaries: naive MAE, MAE, improvement, CV, p50, p95, ratio,
+    three pass flags, score and approval."""
+    p50, p95 = (F.col("errors")[ERROR_PERCENTILES.index(p)].alias(f"p{100 * p:.0f}") for p in (0.5, 0.95))
+    return s.select(*keys, "n", "mae_naive", "mae", "std_error", p50, p95).transform(score_levels)
 
 
 def error_metrics(pred: DataFrame, keys=("pair_id",), exact="exact") -> DataFrame:
-    """N, mae, rmse, r2, max, min, std, percentiles of |e|, mape,
-    median and p95 relative error (%)."""
-    e = F.col("y") - F.col("pred")
-    ae = F.abs(e)
-    rel = F.abs(e / (F.col("y") + F.lit(REL_EPS))) * 100
-    df = pred.select(*keys, "y", "pred", e.alias("e"), ae.alias("ae"), rel.alias("rel"))
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("ae").alias("mae"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"),
-        F.avg(F.col("e") * F.col("e")).alias("_mse"), F.var_pop("y").alias("_vy"),
-        F.max("ae").alias("max_error"), F.min("ae").alias("min_error"), F.stddev_pop("ae").alias("std_error"),
-        _pct(F.col("ae"), ERROR_PERCENTILES, exact).alias("_p"), F.avg("rel").alias("mape"),
-        _pct(F.col("rel"), (0.5, 0.95), exact).alias("_r"))
-    agg = _with_quantiles(agg, df, keys, [("_p", "ae", ERROR_PERCENTILES), ("_r", "rel", (0.5, 0.95))], exact)
-    r2 = F.when(F.col("_vy") > 0, 1 - F.col("_mse") / F.col("_vy"))
-    names = ["q1_error", "median_error", "q3_error", "p90_error", "p95_error", "p99_error"]
-    return agg.select(*keys, "n", "mae", "rmse", r2.alias("r2"), "max_error", "min_error", "std_error",
-                      *[F.col("_p")[i].alias(n) for i, n in enumerate(names)], "mape",
-                      F.col("_r")[0].alias("median_rel_error"), F.col("_r")[1].alias("p95_rel_error"))
+    return metrics_of(summaries(pred, keys, exact), keys)
 
 
 def gate(pred: DataFrame, keys=("pair_id",), exact="exact") -> DataFrame:
-    """E3-E6 per pair: naive MAE, MAE, improvement, CV, p50, p95, ratio,
-    three pass flags, score and approval."""
-    means = pred.groupBy(*keys).agg(F.avg("y").alias("mean_y"))
-    df = pred.join(F.broadcast(means), list(keys)).select(
-        *keys, F.abs(F.col("y") - F.col("pred")).alias("ae"), F.abs(F.col("y") - F.col("mean_y")).alias("ane"))
-    a = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("ane").alias("mae_naive"),
-                              F.avg("ae").alias("mae"), F.stddev_pop("ae").alias("std_error"),
-                              _pct(F.col("ae"), (0.5, 0.95), exact).alias("_p"))
-    a = _with_quantiles(a, df, keys, [("_p", "ae", (0.5, 0.95))], exact)
-    return a.select(*keys, "n", "mae_naive", "mae", "std_error",
-                    F.col("_p")[0].alias("p50"), F.col("_p")[1].alias("p95")).transform(score_levels)
+    return gate_of(summaries(pred, keys, exact), keys)
 
 
 def score_levels(a: DataFrame) -> DataFrame:

@@ -84,7 +84,8 @@ def residual_quantiles(pred_rows: DataFrame, exact="exact", accuracy: int = 100_
     """M8: q10, q50, q90 of the TRAINING residuals y - pred per pair.
 
     'exact' / 'bracket': linear interpolation between order statistics
-    ('bracket' with bounded memory per pair); 'approx': percentile_approx."""
+    ('bracket' with bounded memory per pair, reading the rows three times);
+    'approx': percentile_approx."""
     from racelens.operators.quantiles import grouped_quantiles
     mode = "exact" if exact is True else ("approx" if exact is False else exact)
     r = pred_rows.filter(~F.col("holdout")).withColumn("res", F.col("y") - F.col("pred"))

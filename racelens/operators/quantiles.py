@@ -2,94 +2,127 @@
 
 Spark's exact ``percentile`` keeps a value->count map per group and merges
 the whole map of a group in one task, so a group holding a third of all rows
-needs memory proportional to its distinct values. ``bracket_quantiles``
-returns the same numbers (linear interpolation between order statistics,
-position (n-1)p) in three distributed passes:
-
-1. per group: n and ``percentile_approx`` at p -/+ 4/accuracy, whose ranks
-   bracket the wanted order statistics (rank error <= n/accuracy, with room
-   for merged sketches);
-2. per group and p: how many values lie below the bracket, equal to either
-   edge, and strictly inside it (about 8n/accuracy rows);
-3. ``row_number`` over the strictly-inside rows only, pick ranks k and k+1
-   (edge values are known from the counts), interpolate.
-
-A bracket that misses (possible only for tiny groups) is widened to the
-whole value range for that group and p, which is always correct.
+needs memory proportional to its distinct values. ``exact_quantiles`` returns
+the same numbers (linear interpolation between order statistics, position
+(n-1)p) for all measures and probabilities of a row set in one run of three
+aggregates over the rows:
+
+1. per group and measure: n, least, largest, and ``percentile_approx`` at
+   p -/+ 4/accuracy and p -/+ WIDE, brackets around the wanted order statistics
+   (a sketch errs by n/accuracy ranks; the rest is room for merged sketches);
+2. per group: how many values lie below each edge, or at it. The narrowest
+   bracket that covers the wanted ranks is taken; the range from least to
+   largest value, which always does, is the last choice;
+3. ``row_number`` over the rows strictly inside a taken bracket (about
+   8n/accuracy, or 2 n WIDE where that is under a rank). Values at an edge are
+   known from the counts, so heavy ties are never ranked.
+
+The results of the first two, a row per group, are materialised in the shared
+checkpoint folder. The rows are read three times: the caller materialises them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 100_000
-
-
-def bracket_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Exact quantiles per group, long form: keys..., p, q.
-
-    Values equal to a bracket edge are counted, not ranked, so heavy ties
-    never reach the ranking window; only values strictly inside the bracket
-    (rank span about 8n/accuracy) are sorted per group and p."""
-    eps = 4.0 / accuracy
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    # the values are read three times: materialised once, as two narrow columns, in the shared checkpoint folder
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()).checkpoint()
-    stats = v.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", lo_p, accuracy).alias("_lo"),
-        F.percentile_approx("_v", hi_p, accuracy).alias("_hi"))
-    zipped = F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("p"), F.col("_lo").alias("lo"),
-                          F.col("_hi").alias("hi"))
-    br = stats.select(*keys, "_n", "_min", "_max", F.posexplode(zipped).alias("_i", "_b")).select(
-        *keys, "_n", "_i", F.col("_b.p").alias("p"), F.col("_b.lo").alias("lo"), F.col("_b.hi").alias("hi"),
-        "_min", "_max")
-    pos = (F.col("_n") - 1) * F.col("p")
-    br = br.select("*", F.floor(pos).cast("long").alias("k"), (pos - F.floor(pos)).alias("frac")).checkpoint()
-
-    def counted(b: DataFrame) -> DataFrame:
-        j = v.join(b, keys)
-        c = j.groupBy(*keys, "_i").agg(
-            F.count_if(F.col("_v") < F.col("lo")).alias("below"),
-            F.count_if(F.col("_v") == F.col("lo")).alias("c_lo"),
-            F.count_if((F.col("_v") > F.col("lo")) & (F.col("_v") < F.col("hi"))).alias("c_mid"),
-            F.count_if((F.col("_v") == F.col("hi")) & (F.col("hi") > F.col("lo"))).alias("c_hi"))
-        return b.join(c, keys + ["_i"])
-
-    chk = counted(br).checkpoint()
-    need = F.least(F.col("k") + 2, F.col("_n"))
-    ok = (F.col("below") <= F.col("k")) & (F.col("below") + F.col("c_lo") + F.col("c_mid") + F.col("c_hi") >= need)
-    good = chk.filter(ok)
-    # a missed bracket (tiny groups) is widened to the full value range
-    bad = counted(chk.filter(~ok).select(*keys, "_n", "_i", "p", F.col("_min").alias("lo"),
-                                         F.col("_max").alias("hi"), "_min", "_max", "k", "frac"))
-    allb = good.unionByName(bad).checkpoint()
-
-    def which(r: Column) -> Column:
-        return (F.when(r < F.col("below") + F.col("c_lo"), F.lit("lo"))
-                .when(r < F.col("below") + F.col("c_lo") + F.col("c_mid"), F.lit("mid"))
-                .when(r < F.col("_n"), F.lit("hi")))
-
-    ranks = allb.select(*keys, "_i", "p", "frac", "lo", "hi", "below", "c_lo", "c_mid",
-                        F.explode(F.array(F.col("k"), F.when(F.col("k") + 1 < F.col("_n"), F.col("k") + 1)))
-                        .alias("r"), "_n").filter(F.col("r").isNotNull())
-    ranks = ranks.withColumn("side", which(F.col("r"))) \
-        .withColumn("m", F.col("r") - F.col("below") - F.col("c_lo"))
-    mid_need = ranks.filter(F.col("side") == "mid").select(*keys, "_i", "lo", "hi").distinct()
-    mid_rows = v.join(mid_need, keys).filter((F.col("_v") > F.col("lo")) & (F.col("_v") < F.col("hi")))
-    w = Window.partitionBy(*keys, "_i").orderBy("_v")
-    mid_ranked = mid_rows.select(*keys, "_i", "_v", (F.row_number().over(w) - 1).alias("m"))
-    val = ranks.join(mid_ranked, keys + ["_i", "m"], "left").select(
-        *keys, "_i", "p", "frac", "r",
-        F.when(F.col("side") == "lo", F.col("lo")).when(F.col("side") == "hi", F.col("hi"))
-        .otherwise(F.col("_v")).alias("val"))
-    out = val.groupBy(*keys, "_i", "p", "frac").agg(
-        F.min_by("val", "r").alias("vk"), F.max_by("val", "r").alias("vk1"), F.count(F.lit(1)).alias("nr"))
-    q = F.when(F.col("nr") == 1, F.col("vk")).otherwise(F.col("vk") + F.col("frac") * (F.col("vk1") - F.col("vk")))
-    return out.select(*keys, "p", q.alias("q"))
+WIDE = 1 / 250      # half width of the second bracket, for groups of 250 rows and more
+
+FIELDS = ("lo", "hi", "up_to_lo", "below_hi", "k", "k1", "frac", "ranked")    # of a taken bracket
+
+Spec = tuple[str, str, list[float]]     # name of the result, measure, probabilities
+
+
+def _brackets(probs: list[float], accuracy: int) -> list[tuple[float, float]]:
+    return [(max(0.0, p - eps), min(1.0, p + eps)) for p in probs for eps in (4.0 / accuracy, WIDE)]
+
+
+def _at_edges(v: Column, lo: Column, hi: Column) -> list[Column]:
+    """Counts of values below and up to either edge."""
+    return [F.count_if(v < lo), F.count_if(v <= lo), F.count_if(v < hi), F.count_if(v <= hi)]
+
+
+def _taken(s: str, probs: list[float]) -> list[Column]:
+    """Per probability: the narrowest bracket that covers ranks k and k + 1, as a struct."""
+    out = []
+    for j, p in enumerate(probs):
+        n = F.col(f"_n{s}")
+        position = (n - 1) * F.lit(p)
+        k = F.floor(position).cast("long")
+        k1 = F.least(k + 1, n - 1)
+
+        def bracket(lo, hi, up_to_lo, below_hi, k=k, k1=k1, position=position):
+            inside = lambda r: (r >= up_to_lo) & (r < below_hi)
+            return F.struct(lo.alias("lo"), hi.alias("hi"), up_to_lo.alias("up_to_lo"), below_hi.alias("below_hi"),
+                            k.alias("k"), k1.alias("k1"), (position - k).alias("frac"),
+                            (inside(k) | inside(k1)).alias("ranked"))
+
+        choice = []
+        for e in (2 * j, 2 * j + 1):
+            c = F.col(f"_c{s}_{e}")
+            found = bracket(F.col(f"_lo{s}")[e], F.col(f"_hi{s}")[e], c[1], c[2])
+            choice.append(F.when((c[0] <= k) & (c[3] > k1), found))
+        ends = bracket(F.col(f"_min{s}"), F.col(f"_max{s}"), F.col(f"_c{s}_ends")[1], F.col(f"_c{s}_ends")[2])
+        out.append(F.coalesce(*choice, F.when(n > 0, ends)).alias(f"_b{s}_{j}"))
+    return out
+
+
+def exact_quantiles(rows: DataFrame, keys: list[str], specs: list[Spec], aggs: list[Column] | None = None,
+                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """keys..., the aggregates ``aggs`` (of the first pass), and per spec an array of quantiles.
+
+    Nulls are left out; a group without values has null quantiles. ``rows`` is read three times."""
+    measures = {name: F.col(col).cast("double") for name, col, _ in specs}
+    first = []
+    for s, col, probs in specs:
+        v, edges = measures[s], _brackets(probs, accuracy)
+        first += [F.count(v).alias(f"_n{s}"), F.min(v).alias(f"_min{s}"), F.max(v).alias(f"_max{s}"),
+                  F.percentile_approx(v, [lo for lo, _ in edges], accuracy).alias(f"_lo{s}"),
+                  F.percentile_approx(v, [hi for _, hi in edges], accuracy).alias(f"_hi{s}")]
+    stats = rows.groupBy(*keys).agg(*(aggs or []), *first).checkpoint()
+    values = rows.select(*keys, *[v.alias(f"_v{s}") for s, v in measures.items()])
+
+    counts = []
+    for s, _, probs in specs:
+        v = F.col(f"_v{s}")
+        counts += [F.array(*_at_edges(v, F.col(f"_lo{s}")[e], F.col(f"_hi{s}")[e])).alias(f"_c{s}_{e}")
+                   for e in range(2 * len(probs))]
+        counts.append(F.array(*_at_edges(v, F.col(f"_min{s}"), F.col(f"_max{s}"))).alias(f"_c{s}_ends"))
+    edges = stats.select(*keys, *[f"_{part}{s}" for s, _, _ in specs for part in ("lo", "hi", "min", "max")])
+    counted = values.join(edges, keys).groupBy(*keys).agg(*counts)
+    taken = stats.join(counted, keys)
+    chosen = [b for s, _, probs in specs for b in _taken(s, probs)]
+    own = [c for c in stats.columns if not c.startswith("_") or c in keys]
+    slots = [(s, j) for s, _, probs in specs for j in range(len(probs))]
+    # plain columns: fields of structs in a filter below a generator make the optimizer derive constraints without end
+    taken = taken.select(*own, *chosen).select(*own, *[F.col(f"_b{s}_{j}")[f].alias(f"_{f}_{i}")
+                                                       for i, (s, j) in enumerate(slots) for f in FIELDS]).checkpoint()
+
+    def col(field: str, i: int) -> Column:
+        return F.col(f"_{field}_{i}")
+
+    hit = [col("ranked", i) & (F.col(f"_v{s}") > col("lo", i)) & (F.col(f"_v{s}") < col("hi", i)) for i, (s, _) in enumerate(slots)]
+    inside = values.join(taken.drop(*[c for c in own if c not in keys]), keys).filter(reduce(Column.__or__, hit))
+    inside = inside.select(*keys, F.inline(F.array(*[
+        F.when(hit[i], F.struct(F.lit(i).alias("_slot"), F.col(f"_v{s}").alias("_v"), (col("k", i) - col("up_to_lo", i)).alias("_r"),
+                                (col("k1", i) - col("up_to_lo", i)).alias("_r1")))
+        for i, (s, _) in enumerate(slots)]))).filter("_slot is not null")
+    rank = F.row_number().over(Window.partitionBy(*keys, "_slot").orderBy("_v")) - 1
+    inside = inside.withColumn("_at", rank).filter("_at = _r or _at = _r1")
+    picked = inside.groupBy(*keys).agg(*[F.max(F.when((F.col("_slot") == i) & (F.col("_at") == F.col(r)), F.col("_v"))).alias(f"{r}_{i}")
+                                         for i in range(len(slots)) for r in ("_r", "_r1")])
+
+    def quantile(i: int) -> Column:
+        def at(r: Column, mid: Column) -> Column:
+            return F.when(r < col("up_to_lo", i), col("lo", i)).when(r >= col("below_hi", i), col("hi", i)).otherwise(mid)
+        low, high = at(col("k", i), F.col(f"_r_{i}")), at(col("k1", i), F.col(f"_r1_{i}"))
+        return F.when(low == high, low).otherwise(low + col("frac", i) * (high - low))
+
+    return taken.join(picked, keys, "left").select(
+        *own, *[F.array(*[quantile(i) for i, (of, _) in enumerate(slots) if of == s]).alias(s) for s, _, _ in specs])
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], mode: str = "exact",
@@ -97,14 +130,13 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     """Wide form: keys..., one column per probability named q{index}.
 
     mode 'exact'   : Spark ``percentile`` (fine for moderate groups)
-         'bracket' : exact with bounded memory per group (any group size)
+         'bracket' : exact with bounded memory per group (any group size; reads ``df`` three times)
          'approx'  : ``percentile_approx`` (rank error <= n/accuracy)
     """
     if mode == "bracket":
-        long = bracket_quantiles(df, keys, value, probs, accuracy)
-        return long.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == F.lit(p), F.col("q"))).alias(f"q{i}")
-                                         for i, p in enumerate(probs)])
-    agg: Column = (F.percentile(value, list(probs)) if mode == "exact"
-                   else F.percentile_approx(value, list(probs), accuracy))
-    return df.groupBy(*keys).agg(agg.alias("_q")).select(
-        *keys, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+        q = exact_quantiles(df, keys, [("q", value, list(probs))], accuracy=accuracy)
+    else:
+        agg: Column = (F.percentile(value, list(probs)) if mode == "exact"
+                       else F.percentile_approx(value, list(probs), accuracy))
+        q = df.groupBy(*keys).agg(agg.alias("q"))
+    return q.select(*keys, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])

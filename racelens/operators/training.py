@@ -58,13 +58,6 @@ class _Run:
     def pairs(self) -> list[G.Pair]:
         raise NotImplementedError
 
-    def materialize(self) -> "_Run":
-        """Checkpoint the pair rows (reliable, in the shared checkpoint folder)
-        so every later aggregate reads them instead of replaying the lineage,
-        and a lost executor costs a re-read, not a recomputation."""
-        self.__dict__["rows"] = self.rows.checkpoint()
-        return self
-
     @cached_property
     def pair_df(self) -> DataFrame:
         return G.pair_frame(self.spark, self.pairs)
@@ -137,13 +130,23 @@ class InterpolationRun(_Run):
         found = LS.predict(self.trained, models.select("pair_id", "beta"), self.centre, ["pair_id"])
         return found.select("pair_id", "row_key", "y", "pred")
 
+    @cached_property
+    def cv_rows(self) -> DataFrame:
+        """Out-of-fold predictions, narrow, checkpointed: the grid is expanded once and every later pass reads them."""
+        return self.cv.select("pair_id", "fold", "y", "pred").checkpoint()
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Error summaries of every pair, checkpointed (metrics and gate read them)."""
+        return E.summaries(self.cv_rows, exact=self.exact).checkpoint()
+
     @cached_property
     def metrics(self) -> DataFrame:
-        return E.error_metrics(self.cv, exact=self.exact)
+        return E.metrics_of(self.summary)
 
     @cached_property
     def gates(self) -> DataFrame:
-        return E.gate(self.cv, exact=self.exact)
+        return E.gate_of(self.summary)
 
     @cached_property
     def folds(self) -> DataFrame:
@@ -157,7 +160,7 @@ class InterpolationRun(_Run):
         g = self.gates.select("pair_id", "mae_naive", "improvement", "cv", "p50", "p95", "ratio",
                               "pass_naive", "pass_consistency", "pass_outliers", "score", "approved", "status")
         m = self.metrics.select("pair_id", "n", "mae", "rmse", "r2")
-        return (p.join(m, "pair_id").join(self.folds, "pair_id").join(g, "pair_id"))
+        return (p.join(m, "pair_id").join(M.fold_mae(self.cv_rows), "pair_id").join(g, "pair_id"))
 
 
 class PredictionRun(_Run):
@@ -178,7 +181,8 @@ class PredictionRun(_Run):
 
     @cached_property
     def predictions(self) -> DataFrame:
-        return M.holdout_predict(self.trained)
+        """Predictions of all rows, narrow, checkpointed: quantiles, intervals and gate read them."""
+        return M.holdout_predict(self.trained).select("pair_id", "row_key", "athlete_id", "holdout", "y", "pred").checkpoint()
 
     @cached_property
     def quantiles(self) -> DataFrame:
@@ -192,9 +196,14 @@ class PredictionRun(_Run):
     def coverage(self) -> DataFrame:
         return M.coverage(self.intervals)
 
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Error summaries of the held-out rows of every pair, checkpointed."""
+        return E.summaries(self.predictions.filter(F.col("holdout")), exact=self.exact).checkpoint()
+
     @cached_property
     def gates(self) -> DataFrame:
-        return E.gate(self.predictions.filter(F.col("holdout")), exact=self.exact)
+        return E.gate_of(self.summary)
 
     @cached_property
     def report(self) -> DataFrame:
