@@ -2,8 +2,8 @@
 
 A line is dropped if an earlier line, by (doc_id, row, place), is equal or lies
 within one edit (a character put in, left out or replaced), white space at its
-ends aside. Lines shorter than MIN_CHARS stay as they are: among those, one
-edit is another word.
+ends aside. Among lines shorter than MIN_CHARS only equal ones go: there, one
+edit is another word. Blank lines stay.
 
 Equal lines collapse first, to one class with its earliest place. Lines within
 one edit share a variant: both without the same character at the same place
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from racelens.llm.common import read, shared
 
-MIN_CHARS = 24
+MIN_CHARS = 24  # for one edit; equal lines go at any length
 SEGMENTS = 4
 STEP = 16
 BITMAP = 1 << 25
@@ -46,21 +46,22 @@ PAGE = 32_768  # bits of one bitmap of Spark's bitmap functions
 _BASE = 0x9E3779B97F4A7C15
 
 
-def eligible(text: str | None) -> Iterator[tuple[int, str]]:
-    """(place, line) of the lines that take part, ends stripped."""
+def filled(text: str | None) -> Iterator[tuple[int, str]]:
+    """(place, line) of the lines that are not blank, ends stripped."""
     for n, line in enumerate((text or "").split("\n")):
         line = line.strip()
-        if len(line) >= MIN_CHARS:
+        if line:
             yield n, line
 
 
-def _halves(line: str) -> tuple[int, int]:
-    raw = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
-    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+def _halves(lines: list[str]) -> np.ndarray:
+    """Both halves of the hash of each line, as columns."""
+    raw = b"".join([xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines])
+    return np.frombuffer(raw, "<i8").reshape(-1, 2)
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def _signed(hashes: list[int]) -> pa.Array:
+    return pa.array(np.array(hashes, np.uint64).view(np.int64))
 
 
 def anchors(line: str) -> list[tuple[int, int, int]]:
@@ -70,11 +71,12 @@ def anchors(line: str) -> list[tuple[int, int, int]]:
     whose lengths differ by one share a base; at the step a line has both.
     """
     n, out = len(line), []
+    raw = line.encode("utf-32-le", "surrogatepass")  # four bytes a character
     for base in {n - n % STEP, (n - 1) - (n - 1) % STEP}:
         for piece in range(SEGMENTS):
-            head, tail = piece * base // SEGMENTS, base - (piece + 1) * base // SEGMENTS
-            key = f"{base} {piece} {line[:head]}\n{line[n - tail :]}"
-            out.append((_signed(xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass"))), head, n - tail))
+            head, end = piece * base // SEGMENTS, n - base + (piece + 1) * base // SEGMENTS
+            key = raw[: 4 * head] + raw[4 * end :]  # base and piece, the seed, say where one part ends
+            out.append((xxhash.xxh3_64_intdigest(key, base * SEGMENTS + piece), head, end))
     return out
 
 
@@ -117,42 +119,51 @@ LINE_SCHEMA = "h1 long, h2 long, doc_id long, row long, line int"
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = []
+        lines, places, owners, counts = [], [], [], []
         for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            if text is not None:
-                row = zlib.crc32(text.encode("utf-8", "surrogatepass"))
-                rows += [(*_halves(line), doc, row, n) for n, line in eligible(text)]
-        if rows:
-            c = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.int32())], names=["h1", "h2", "doc_id", "row", "line"])
+            before = len(lines)
+            for n, line in filled(text):
+                lines.append(line)
+                places.append(n)
+            if len(lines) > before:
+                owners.append((doc, zlib.crc32(text.encode("utf-8", "surrogatepass"))))
+                counts.append(len(lines) - before)
+        if lines:
+            own = np.repeat(np.array(owners, np.int64), counts, axis=0)
+            columns = [*_halves(lines).T, *own.T]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), pa.array(places, pa.int32())], names=["h1", "h2", "doc_id", "row", "line"])
 
 
-def _distinct(b: pa.RecordBatch) -> set[str]:
-    return {line for text in b.column(1).to_pylist() for _, line in eligible(text)}
+def _distinct(b: pa.RecordBatch) -> list[str]:
+    """Lines of the batch that are long enough for one edit, each once."""
+    return list({line for text in b.column(1).to_pylist() for _, line in filled(text) if len(line) >= MIN_CHARS})
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys, hashes = [], []
-        for line in _distinct(b):
-            own = [a for a, _, _ in anchors(line)]
-            keys += own
-            hashes += [_halves(line)[0]] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hashes, pa.int64())], names=["anchor", "h"])
+        lines, keys, counts = _distinct(b), [], []
+        for line in lines:
+            own = anchors(line)
+            keys += [a for a, _, _ in own]
+            counts.append(len(own))
+        yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(np.repeat(_halves(lines)[:, 0], counts))], names=["anchor", "h"])
 
 
 def _candidates(bitmap: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
+            lines, found, counts = [], [], []
             for line in _distinct(b):
                 near = [x for x in anchors(line) if bitmap[x[0] % BITMAP >> 3] >> (x[0] & 7) & 1]
                 if near:
-                    both = _halves(line)
-                    rows += [(*both, *x, line) for x in near]
-            if rows:
-                c = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:3]), pa.array(c[3], pa.int32()), pa.array(c[4], pa.int32()), pa.array(c[5], pa.string())], names=["h1", "h2", "anchor", "start", "end", "text"])
+                    lines.append(line)
+                    found += near
+                    counts.append(len(near))
+            if lines:
+                keys, starts, ends = zip(*found, strict=True)
+                halves = np.repeat(_halves(lines), counts, axis=0)
+                texts = pa.array(lines, pa.string()).take(pa.array(np.repeat(np.arange(len(lines)), counts)))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in halves.T), _signed(keys), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), texts], names=["h1", "h2", "anchor", "start", "end", "text"])
 
     return run
 

@@ -16,21 +16,22 @@ def within_one(a, b):
 
 
 def brute(rows):
-    """doc_id -> text without the lines that have an earlier one within one edit."""
+    """doc_id -> text without the lines that an earlier one equals or, among long ones, that have one within one edit."""
     seen, by_length, out = set(), {}, {}
     for i, text in sorted(r for r in rows if r[0] is not None):
         kept = []
         for line in (text or "").split("\n"):
             x = line.strip()
-            if len(x) < D.MIN_CHARS:
+            if not x:
                 kept.append(line)
                 continue
-            near = [y for n in (-1, 0, 1) for y in by_length.get(len(x) + n, ())]
+            near = [y for n in (-1, 0, 1) for y in by_length.get(len(x) + n, ())] if len(x) >= D.MIN_CHARS else []
             if x not in seen and not any(within_one(x, y) for y in near):
                 kept.append(line)
             if x not in seen:
                 seen.add(x)
-                by_length.setdefault(len(x), []).append(x)
+                if len(x) >= D.MIN_CHARS:
+                    by_length.setdefault(len(x), []).append(x)
         out[i] = "\n".join(kept)
     return out
 
@@ -69,7 +70,7 @@ def test_shared_variants_and_edge_rows(spark, docs):
     numbered = [f"one of many lines with number {n % 10} at its middle" for n in range(400)]
     texts = [None, "", "short\nshort", "\n\n", "\n".join(numbered), *numbered[:30], "  " + numbered[0] + " \t", "the end of it is a very long one " + "word " * 30_000, "the end of it is a very long one " + "word " * 29_999 + "ward ", numbered[0] + "\n" + numbered[0]]
     want, _ = check(spark, docs(texts))
-    assert want[2] == "short\nshort"
+    assert want[2] == "short" and want[3] == "\n\n"
     d = spark.createDataFrame([(None, numbered[0], 1), (4, numbered[0], 2), (4, numbered[0], 3), (5, None, 4), (6, numbered[0], 5)], "doc_id long, text string, line int")
     got = sorted((r.line, r.text, r.n_dropped) for r in D.dedup_lines(spark, d).collect())
     assert got == [(1, numbered[0], 0), (2, numbered[0], 0), (3, numbered[0], 0), (4, None, 0), (5, "", 1)]
@@ -84,3 +85,9 @@ def test_one_id_with_different_texts(spark):
     assert sum(n for _, _, n in got) in (3, 4)  # the later of both rows loses b; where that is the repeated row, twice
     assert [t for i, t, _ in got if i == 2] == ["x"]
     assert any(t.startswith(a) for _, t, _ in got) and any(t.startswith(c) for _, t, _ in got)
+
+
+def test_equal_short_lines(spark, docs):
+    """Equal lines go at any length, a short line one edit away and blank lines stay."""
+    want, _ = check(spark, docs(["All rights reserved.\n}\n\nx", "  }\n\nAll rights reserved,", "x\nAll rights reserved.\nnew", "}"]))
+    assert want == {0: "All rights reserved.\n}\n\nx", 1: "\nAll rights reserved,", 2: "new", 3: ""}
