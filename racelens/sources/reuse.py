@@ -69,9 +69,9 @@ def reuse_or_write(spark: SparkSession, base: str, wanted: DataFrame, rows: Data
     if not missing.isEmpty():
         attempt = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         folder = f"{base}/{attempt}"
-        # rebalance: even files, and a large table is cut into several; sorted, so that footers tell which files hold a table
-        (rows.join(missing.select("address"), "address", "left_semi").hint("rebalance", "address")
-         .sortWithinPartitions("address").write.parquet(f"{folder}/rows"))
+        # ranges of addresses: footers tell which files hold a table, and a large one is cut into several; no task sorts
+        (rows.join(F.broadcast(missing.select("address")), "address", "left_semi")     # a row per table
+         .repartitionByRange("address", F.xxhash64(*[c for c in rows.columns if c != "address"])).write.parquet(f"{folder}/rows"))
         missing.select("address", "table_name", F.lit(attempt).alias("attempt")).write.parquet(f"{folder}/records")
         _commit(spark, folder)
     return state
