@@ -15,7 +15,7 @@ from racelens.operators import training_table as T
 from racelens.operators.history import KIND_IMPOSSIBLE
 from racelens.operators.models import GBT_INTERP
 from racelens.plans.context import Ctx, r6
-from racelens.plans.queries import _training_long, query
+from racelens.plans.queries import query
 from racelens.plans.queries_train import TCtx, r4
 from racelens.session import scratch_path
 from racelens.sources import catalog as C
@@ -91,7 +91,7 @@ def q_reuse_if_exists(spark, sf):
     chosen = sets.select("address", F.inline("editions"))
     base = scratch_path(spark, "source-tables")
     rows = W.read_declared(spark, c.stored, [], c.chosen_pairs).select("finisher_id", "race_id", "event_id")
-    rows = rows.join(chosen, ["race_id", "event_id"])
+    rows = rows.join(F.broadcast(chosen), ["race_id", "event_id"])     # at most five editions per request
     first = R.reuse_or_write(spark, base, sets, rows)
     second = R.reuse_or_write(spark, base, sets, rows)
     flags = first.select("address", F.col("reused").alias("reused_first")).join(
@@ -104,9 +104,9 @@ def q_reuse_if_exists(spark, sf):
 @query("training_table_write")
 def q_training_table_write(spark, sf):
     c = Ctx(spark, sf)
-    path = scratch_path(spark, "training")
-    t = _training_long(c)
-    t.write.mode("overwrite").option("compression", "snappy").partitionBy("req_key").parquet(path)
+    rows = T.training_rows(c.history_rows, c.selection, c.plan, c.valid, c.sources)
+    size = T.training_size(c.history_rows, c.selection, c.plan)
+    path = T.write_by_request(rows, size, scratch_path(spark, "training"))
     back = spark.read.parquet(path)
     return back.select("req_key", "nombre", "athlete_id", "event_id", "event_std", "gender", "age", "ord", "split",
                        "secs")
