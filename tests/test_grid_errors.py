@@ -54,3 +54,12 @@ def test_evaluation_makes_no_row_per_pair_and_finisher(spark):
 def test_no_rows(spark):
     run = InterpolationRun(_wide(spark, n=8))
     assert run.gates.count() == 0 and run.evaluation.count() == 0
+
+
+def test_counted_bins():
+    """Dense and sparse keys, as np.unique gives them."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    for key in (rng.integers(0, 50, 1000), rng.integers(0, 2**60, 1000), np.array([7]), np.array([0, 2**62])):
+        for got, want in zip(GE._counted(key), np.unique(key, return_counts=True), strict=True):
+            assert (got == want).all()
