@@ -184,7 +184,7 @@ def q_recursive_load(spark, sf):
 
 
 def _eval_table(c: TCtx) -> DataFrame:
-    e = c.interp.evaluation
+    e = c.graded.evaluation
     return e.select("model_id", "target", "position", r4("mae_folds_mean").alias("mae"),
                     r4("mae_folds_std").alias("mae_std"), F.col("n").alias("n_samples"), "score", "approved")
 
@@ -201,7 +201,7 @@ def q_metrics_csv(spark, sf):
 @query("metrics_json")
 def q_metrics_json(spark, sf):
     c = TCtx(spark, sf)
-    path = MF.write_metrics_json(MF.metrics_records(c.interp.evaluation), scratch_path(spark, "metrics-json"))
+    path = MF.write_metrics_json(MF.metrics_records(c.graded.evaluation), scratch_path(spark, "metrics-json"))
     back = spark.read.schema(
         "regression_metrics struct<mae:struct<value:double,standard_deviation:double>,r2:struct<value:double>,"
         "n_samples:struct<value:long>>, validation_metrics struct<calidad:int,aprobado:boolean,"
@@ -249,15 +249,15 @@ def q_model_index(spark, sf):
 @query("run_summary_write")
 def q_run_summary_write(spark, sf):
     c = TCtx(spark, sf)
-    saved = c.interp.evaluation.filter("approved").select(
+    saved = c.graded.evaluation.filter("approved").select(
         F.col("mae_folds_mean").alias("mae"), F.col("mae_folds_std").alias("mae_std"), F.col("n").alias("n_samples"))
     summ = P.metric_summary(saved)
-    stats = P.validation_stats_interp(c.interp.gates, c.interp.counts)
-    n = len(c.interp.splits)
+    stats = P.validation_stats_interp(c.graded.gates, c.graded.counts)
+    n = len(c.graded.splits)
     one = stats.select(
         F.lit("race_wide").alias("carrera"), F.lit(RUN_TS).alias("timestamp"),
         F.lit(n * (n - 1) // 2).alias("total_modelos_teoricos"), F.col("aprobados").alias("modelos_guardados"),
-        F.lit(",".join(c.interp.splits)).alias("splits"),
+        F.lit(",".join(c.graded.splits)).alias("splits"),
         F.struct(*[F.lit(v).alias(k) for k, v in GBT_INTERP.items()]).alias("hiperparametros"),
         F.struct("total_evaluados", "aprobados", "rechazados", "insuficientes", "tasa_aprobacion",
                  "puntuacion_promedio").alias("validaciones"))
