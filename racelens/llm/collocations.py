@@ -18,13 +18,19 @@ across shards, and only phrases that reach the least count over all of them
 are extended further. So every count is exact, and what is shuffled shrinks
 with the length.
 
+Most phrases are rare, so counts go out in two passes. First each shard adds
+up its phrases by slot, a hash of their parts, with one slot for every
+WORDS_A_SLOT words of the whole text. A frequent phrase makes its slot reach
+the least count over all shards; phrases of other slots stay at home.
+
 Counts travel as packed lists: a shard deals its phrases out to buckets by a
 hash of their two parts and sends one compressed list a bucket. There are as
 many buckets as shards of full size in the text, a phrase stands at most once
 in a shard, so a bucket's lists hold about one shard's words at any size. Back
 to a shard go only places in its own lists and the new ids; the intervals stay
-in one row of the shard. With very many shards the lists get short, down to
-one phrase each.
+in one row of the shard. Texts, indexes and intervals are stored in buckets by
+shard, so that they stay where they are when these lists come to them. With
+very many shards the lists get short, down to one phrase each.
 
 Each level is written to the shared folder and read from there. Phrases are
 named by the ids of their two parts; the frequent ones carry the counts of
@@ -50,9 +56,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from racelens.llm.common import read, shared
+from racelens.llm.common import read, shared, shared_by
 
 SHARD_WORDS = 2_000_000
+WORDS_A_SLOT = 4
 DEPTH = 5
 LEAST = 100
 TOP = 2_000
@@ -252,9 +259,46 @@ def extend(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, n: np.ndarray, id
     return ids[at[keep]], ids[owner[first[keep]]], counts[keep], new_lo[keep], new_other[keep]
 
 
-#: per shard a row with its index, one with the intervals of its phrases, and one a bucket with the phrases dealt to it
-STEP_SCHEMA = pa.schema([("shard", pa.int64()), ("ahead", pa.binary()), ("back", pa.binary()), ("starts", pa.binary()), ("places", pa.binary()), ("bucket", pa.int64()), ("pairs", pa.binary())])
-STEP_COLUMNS = "shard long, ahead binary, back binary, starts binary, places binary, bucket long, pairs binary"
+#: per shard a row with its index and the ids of its words, and one a bucket with the sums of its slots there
+INDEX_SCHEMA = pa.schema([("shard", pa.int64()), ("ahead", pa.binary()), ("back", pa.binary()), ("names", pa.binary()), ("bucket", pa.int64()), ("marks", pa.binary())])
+INDEX_COLUMNS = "shard long, ahead binary, back binary, names binary, bucket long, marks binary"
+HEAVY_SCHEMA = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("found", pa.binary())])
+HEAVY_COLUMNS = "shard long, bucket long, found binary"
+
+
+def _marks(shard: int, buckets: int, slots: int, p: np.ndarray, s: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Occurrences of a shard's phrases by slot, a hash of their parts: one list a bucket of so many slots."""
+    at, slot = np.unique(bucket_of(p, s, buckets * slots), return_inverse=True)
+    sums = np.bincount(slot, n).astype(np.int64)
+    starts = np.flatnonzero(np.diff(at // slots, prepend=-1))
+    ends = np.append(starts[1:], len(at))
+    for i in range(0, len(starts), LISTS):
+        lists = [pack_longs(np.diff(at[x:y] % slots, prepend=0), sums[x:y]) for x, y in zip(starts[i : i + LISTS], ends[i : i + LISTS], strict=True)]
+        k = len(lists)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, shard), pa.int64()), *(pa.nulls(k, pa.binary()) for _ in range(3)), pa.array(at[starts[i : i + LISTS]] // slots), pa.array(lists, pa.binary())], schema=INDEX_SCHEMA)
+
+
+def _weigh(lists: pa.Table, least: int, slots: int) -> pa.Table:
+    """The slots of a bucket that hold a frequent phrase or as many rare ones, per shard that has any: its own of them."""
+    bucket, total, own = lists.column("bucket")[0].as_py(), np.zeros(slots, np.int64), []
+    for x in lists.column("marks"):
+        at, n = unpack_longs(x.as_py(), 2)
+        own.append(np.cumsum(at))
+        total[own[-1]] += n
+    heavy = [at[total[at] >= least] for at in own]
+    return pa.Table.from_pylist([{"shard": shard, "bucket": bucket, "found": pack_longs(np.diff(at, prepend=0))} for shard, at in zip(lists.column("shard").to_pylist(), heavy, strict=True) if len(at)], HEAVY_SCHEMA)
+
+
+def _heavy(hits: pa.ListScalar, buckets: int, slots: int, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The phrases (p, s, ...) of a shard that lie in its slots given."""
+    found = np.concatenate([x["bucket"].as_py() * slots + np.cumsum(unpack_longs(x["found"].as_py(), 1)[0]) for x in hits])
+    keep = np.isin(bucket_of(*columns[:2], buckets * slots), found)
+    return tuple(x[keep] for x in columns)
+
+
+#: per shard a row with the intervals of its phrases, and one a bucket with the phrases dealt to it
+STEP_SCHEMA = pa.schema([("shard", pa.int64()), ("starts", pa.binary()), ("places", pa.binary()), ("bucket", pa.int64()), ("pairs", pa.binary())])
+STEP_COLUMNS = "shard long, starts binary, places binary, bucket long, pairs binary"
 
 
 def _phrase_rows(shard: int, buckets: int, p: np.ndarray, s: np.ndarray, n: np.ndarray, lo: np.ndarray, rlo: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -269,7 +313,7 @@ def _phrase_rows(shard: int, buckets: int, p: np.ndarray, s: np.ndarray, n: np.n
     for i in range(0, len(starts), LISTS):
         lists = [pack_longs(p[x:y], s[x:y], n[x:y]) for x, y in zip(starts[i : i + LISTS], ends[i : i + LISTS], strict=True)]
         k = len(lists)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, shard), pa.int64()), *(pa.nulls(k, pa.binary()) for _ in range(4)), pa.array(at[starts[i : i + LISTS]]), pa.array(lists, pa.binary())], schema=STEP_SCHEMA)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, shard), pa.int64()), *(pa.nulls(k, pa.binary()) for _ in range(2)), pa.array(at[starts[i : i + LISTS]]), pa.array(lists, pa.binary())], schema=STEP_SCHEMA)
 
 
 MERGED_SCHEMA = pa.schema([("shard", pa.int64()), ("bucket", pa.int64()), ("found", pa.binary()), ("id", pa.int64()), ("p", pa.int64()), ("s", pa.int64()), ("a", pa.int64())])
@@ -303,8 +347,15 @@ def _merge(lists: pa.Table, least: int) -> pa.Table:
     return pa.Table.from_batches(out, MERGED_SCHEMA)
 
 
-def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Index of each shard (one row), and its bigrams of frequent words."""
+def _pairs(ahead: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The bigrams of a shard (p, s, n and both starts); `names` are the ids of its words."""
+    lo, n = words_of(ahead)
+    lo, n = lo[1:], n[1:]
+    return extend(ahead, lo, lo, n, names)
+
+
+def _index(batches: Iterator[pa.RecordBatch], buckets: int, slots: int) -> Iterator[pa.RecordBatch]:
+    """Index of each shard (one row), and its bigrams of frequent words by slot."""
     for b in batches:
         for i in range(b.num_rows):
             row = b.slice(i, 1)
@@ -319,15 +370,21 @@ def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             if text[-1] != 0:
                 text = np.append(text, 0)
             ahead, back = transform(text), transform(text[::-1])
-            yield pa.RecordBatch.from_pylist([{"shard": shard, "ahead": pack_ids(ahead), "back": pack_ids(back)}], STEP_SCHEMA)
-            lo, n = words_of(ahead)
-            lo, n = lo[1:], n[1:]
-            p, s, n, lo, rlo = extend(ahead, lo, lo, n, names[by])
-            yield from _phrase_rows(shard, buckets, p, s, n, lo, rlo)
+            yield pa.RecordBatch.from_pylist([{"shard": shard, "ahead": pack_ids(ahead), "back": pack_ids(back), "names": pack_longs(names[by])}], INDEX_SCHEMA)
+            yield from _marks(shard, buckets, slots, *_pairs(ahead, names[by])[:3])
 
 
-def _longer(batches: Iterator[pa.RecordBatch], left: bool, buckets: int) -> Iterator[pa.RecordBatch]:
-    """The phrases of each shard, one word longer than those given."""
+def _bigrams(batches: Iterator[pa.RecordBatch], buckets: int, slots: int) -> Iterator[pa.RecordBatch]:
+    """The bigrams of each shard in its heavy slots."""
+    for b in batches:
+        for i in range(b.num_rows):
+            shard, ahead, names, heavy = (c[i] for c in b.columns)
+            found = _pairs(unpack_ids(ahead.as_py()), unpack_longs(names.as_py(), 1)[0])
+            yield from _phrase_rows(shard.as_py(), buckets, *_heavy(heavy, buckets, slots, *found))
+
+
+def _longer(batches: Iterator[pa.RecordBatch], left: bool, buckets: int, slots: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of each shard, one word longer than those given: by slot, or with its heavy slots those in them."""
     for b in batches:
         for i in range(b.num_rows):
             row = b.slice(i, 1)
@@ -346,7 +403,10 @@ def _longer(batches: Iterator[pa.RecordBatch], left: bool, buckets: int) -> Iter
                 p, s, n, lo, rlo = extend(bwt, lo, rlo, n, names)
             else:
                 s, p, n, rlo, lo = extend(bwt, rlo, lo, n, names)
-            yield from _phrase_rows(shard, buckets, p, s, n, lo, rlo)
+            if b.num_columns > 5:
+                yield from _phrase_rows(shard, buckets, *_heavy(row.column(5)[0], buckets, slots, p, s, n, lo, rlo))
+            else:
+                yield from _marks(shard, buckets, slots, p, s, n)
 
 
 # --------------------------------------------------------------- all shards
@@ -359,7 +419,8 @@ def phrases(spark: SparkSession, documents: DataFrame, least: int = LEAST, depth
     the last and without the first word).
     """
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    made = shared(spark, texts.mapInArrow(lambda b: _shards(b, shard_words), TEXT_SCHEMA), "phrases-shards")
+    parts = max(texts.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    made = shared_by(spark, texts.mapInArrow(lambda b: _shards(b, shard_words), TEXT_SCHEMA), "phrases-shards", "shard", parts)
     totals = made.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     words = totals.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-words // shard_words))
@@ -367,10 +428,17 @@ def phrases(spark: SparkSession, documents: DataFrame, least: int = LEAST, depth
     found = shared(spark, dealt.groupBy("bucket").applyInArrow(lambda t: _merge_words(t, least), WORD_COLUMNS), "phrases-words")
     level = found.where("id is not null").select("id", "lang", F.col("word").cast("string").alias("phrase"), F.col("word").cast("string").alias("last"), "a", F.array("a").alias("pre"), F.array("a").alias("suf"), F.lit(None).cast("long").alias("p"), F.lit(None).cast("long").alias("s"))
     levels = [shared(spark, level, "phrases-1")]
-    back = found.where("found is not null").groupBy("shard").agg(F.collect_list(F.struct("found")).alias("found"))  # lists of one shard
-    step = made.where("ids is not null").select("shard", "ids").join(back, "shard").mapInArrow(lambda b: _index(b, buckets), STEP_COLUMNS)
-    step = index = shared(spark, step, "phrases-index")
+    back = found.where("found is not null").repartition(parts, "shard").groupBy("shard").agg(F.collect_list(F.struct("found")).alias("found"))  # lists of one shard
+    slots = -(-shard_words // WORDS_A_SLOT)
+    index = made.where("ids is not null").select("shard", "ids").join(back, "shard").mapInArrow(lambda b: _index(b, buckets, slots), INDEX_COLUMNS)
+    marks = index = shared_by(spark, index, "phrases-index", "shard", parts)
+    side = index.where("ahead is not null").select("shard", "ahead", "names")
     for m in range(2, depth + 1):
+        heavy = marks.where("marks is not null").select("shard", "bucket", "marks").groupBy("bucket").applyInArrow(lambda t: _weigh(t, least, slots), HEAVY_COLUMNS)
+        heavy = shared(spark, heavy, "phrases-heavy").repartition(parts, "shard").groupBy("shard").agg(F.collect_list(F.struct("bucket", "found")).alias("heavy"))  # lists of one shard
+        left = m % 2 == 0
+        step = side.join(heavy, "shard").mapInArrow((lambda b: _bigrams(b, buckets, slots)) if m == 2 else (lambda b, left=left: _longer(b, left, buckets, slots)), STEP_COLUMNS)
+        step = shared_by(spark, step, "phrases-step", "shard", parts)
         merged = step.where("pairs is not null").select("shard", "bucket", "pairs").groupBy("bucket").applyInArrow(lambda t: _merge(t, least), MERGED_COLUMNS)
         merged = shared(spark, merged, "phrases-merged")
         first = levels[-1].select(F.col("id").alias("p"), "lang", F.col("phrase").alias("begin"), "pre")
@@ -380,10 +448,10 @@ def phrases(spark: SparkSession, documents: DataFrame, least: int = LEAST, depth
         levels.append(shared(spark, level, f"phrases-{m}"))
         if m < depth:
             left = m % 2 == 1
-            back = merged.where("found is not null").groupBy("shard").agg(F.collect_list(F.struct("bucket", "found")).alias("hits"))  # lists of one shard
+            back = merged.where("found is not null").repartition(parts, "shard").groupBy("shard").agg(F.collect_list(F.struct("bucket", "found")).alias("hits"))  # lists of one shard
             side = index.where("ahead is not null").select("shard", F.col("ahead" if left else "back").alias("bwt"))
             side = side.join(step.where("places is not null").select("shard", "starts", "places"), "shard").join(back, "shard")
-            step = shared(spark, side.mapInArrow(lambda b, left=left: _longer(b, left, buckets), STEP_COLUMNS), "phrases-step")
+            marks = shared(spark, side.mapInArrow(lambda b, left=left: _longer(b, left, buckets, slots), INDEX_COLUMNS), "phrases-marks")
     return totals, levels
 
 

@@ -22,6 +22,19 @@ def shared(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_by(spark: SparkSession, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """`shared`, in buckets by `key`: a join on it with rows in as many partitions moves none of these.
+
+    Such files are read through a table of the session; its entry goes at once, the files stay.
+    """
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return found
+
+
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One large-star or small-star step over edges (u, v) with u > v."""
     if large:

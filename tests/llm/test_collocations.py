@@ -129,3 +129,39 @@ def test_merge():
             assert [(p[i], s[i]) for i in C.unpack_longs(r["found"], 2)[0]] == [known[x][:2] for x in C.unpack_longs(r["found"], 2)[1]]
     assert sorted(r["shard"] for r in rows if r["found"] is not None) == [7, 8]
     assert sorted(r["id"] is None for r in C._merge(t, 1000).to_pylist()) == []
+
+
+def test_what_travels(spark, monkeypatch):
+    """Texts and indexes meet their lists without an exchange, and rare phrases of frequent words stay at home."""
+    made = []
+
+    def recorded(write):
+        def run(spark, df, name, *more):
+            plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            found = write(spark, df, name, *more)
+            made.append((name, plan, found))
+            return found
+        return run
+
+    monkeypatch.setattr(C, "shared", recorded(C.shared))
+    if hasattr(C, "shared_by"):
+        monkeypatch.setattr(C, "shared_by", recorded(C.shared_by))
+    rng = random.Random(3)
+    rows = [("en", " ".join(rng.choices([f"w{i}" for i in range(100)], k=100))) for _ in range(200)] + [("en", "often said")] * 100
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, levels = C.phrases(spark, table(spark, rows).repartition(3), shard_words=2_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "often said" in {r.phrase for r in levels[1].collect()}
+    for name, plan, _ in made:
+        above = []
+        for line in plan if name in ("phrases-index", "phrases-step") else []:
+            depth = len(re.match(r"[\s:+-]*", line)[0])
+            above = [x for x in above if x[0] < depth] + [(depth, line)]
+            if "FileScan" in line and re.search(r"\b(ids|ahead|back|places)#", line):
+                assert not [x for _, x in above if "Exchange" in x]
+    sent = [r.pairs for name, _, found in made if name in ("phrases-index", "phrases-step") and "pairs" in found.columns
+            for r in found.where("pairs is not null").collect()]
+    assert 0 < sum(C.unpack_longs(x, 3).shape[1] for x in sent) < 2_000     # of about 17,000
